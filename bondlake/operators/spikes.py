@@ -79,8 +79,8 @@ def _carry(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": pdf["source"].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "m_in": ms, "q_in": qs})
 
 
-def runs(rows: DataFrame, key: str | None) -> tuple[DataFrame, DataFrame]:
-    """Rows (source, chunk, row_id, v[, key]) -> the run of each row, and the size of each run.
+def runs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (source, chunk, row_id, v, run_key, least) -> the run of each row, and the distinct keys of each run.
 
     A run is a maximal stretch of one unchanged value in the source's rows by row_id.
     """
@@ -97,16 +97,15 @@ def runs(rows: DataFrame, key: str | None) -> tuple[DataFrame, DataFrame]:
     x = x.join(chunks, ["source", "chunk"], "left")
     goes_on = (F.col("run") == 1) & F.col("before").isNotNull()
     x = x.select(
-        "source", "row_id", *([key] if key else []),
+        "source", "row_id", "run_key", "least",
         F.when(goes_on, F.col("before.c")).otherwise(F.col("chunk")).alias("run_chunk"),
         F.when(goes_on, F.col("before.r")).otherwise(F.col("run")).alias("run_no"),
     )
     at = ["source", "run_chunk", "run_no"]
-    if key:
-        size = x.groupBy(*at, key).agg(F.count(F.lit(1)).alias("n")).groupBy(*at).agg(F.sum("n").alias("run_rows"), F.count(key).alias("run_keys"))
-    else:
-        size = x.groupBy(*at).agg(F.count(F.lit(1)).alias("run_rows")).withColumn("run_keys", F.col("run_rows"))
-    return x, size
+    # a run shorter than the least number of rows can't have as many keys
+    size = x.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least")).filter("n >= least")
+    keys = x.join(size, at, "left_semi").select(*at, "run_key").distinct().groupBy(*at).agg(F.count(F.lit(1)).alias("run_keys"))
+    return x, size.join(keys, at)
 
 
 def flag_spikes(df: DataFrame, id_col: str, source_col: str, fields: list[Field], chart: Chart = Chart()) -> DataFrame:
@@ -117,25 +116,23 @@ def flag_spikes(df: DataFrame, id_col: str, source_col: str, fields: list[Field]
     impossible is reported once, as physical, and is not ordinary. Repeated rows are
     rows like any other. An empty table gives no rows. Other columns are not read.
     """
-    parts = [_one_field(df, id_col, source_col, f, chart) for f in fields]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _one_field(df: DataFrame, id_col: str, source_col: str, f: Field, c: Chart) -> DataFrame:
-    key = f.run_key
-    rows = df.filter(F.col(f.name).isNotNull()).select(
-        F.coalesce(F.col(source_col).cast("string"), F.lit("\0none")).alias("source"), F.col(id_col).cast("long").alias("row_id"),
-        F.floor(F.col(id_col) / c.chunk).cast("long").alias("chunk"), F.col(f.name).cast("double").alias("v"),
-        F.coalesce(f.impossible, F.lit(False)).alias("bad"), *([F.coalesce(F.col(key).cast("string"), F.lit("")).alias("run_key")] if key else []),
-    )
+    c = chart
+    row = F.col(id_col).cast("long")
+    each = [
+        F.struct(
+            F.lit(f.name).alias("field"), F.col(f.name).cast("double").alias("v"), F.coalesce(f.impossible, F.lit(False)).alias("bad"),
+            (F.coalesce(F.col(f.run_key).cast("string"), F.lit("")) if f.run_key else row.cast("string")).alias("run_key"),
+            F.lit(c.run_keys if f.run_key else c.run_rows).alias("least"),
+        )
+        for f in fields
+    ]
+    rows = df.select(row.alias("row_id"), F.col(source_col).cast("string").alias("s"), F.explode(F.array(*each)).alias("x")).filter("x.v is not null and not isnan(x.v)")
+    # a series is one field of one source; \0 can't be confused with a named source
+    rows = rows.select(F.concat("x.field", F.lit("\1"), F.coalesce("s", F.lit("\0"))).alias("source"), "row_id", F.floor(F.col("row_id") / c.chunk).cast("long").alias("chunk"), "x.*")
     rows = cut(rows)
-    x, size = runs(rows, "run_key" if key else None)
-    least = (F.col("run_rows") >= c.run_rows) if not key else (F.col("run_keys") >= c.run_keys)
-    stuck_runs = size.filter(least)
-    stuck = x.join(stuck_runs, ["source", "run_chunk", "run_no"], "left_semi").select("row_id").withColumn("stuck", F.lit(True))
+    x, size = runs(rows)
+    long_runs = size.filter("run_keys >= least")
+    stuck = x.join(long_runs, ["source", "run_chunk", "run_no"], "left_semi").select("source", "row_id").withColumn("stuck", F.lit(True))
 
     usable = rows.filter(~F.col("bad") & (F.col("v") > 0)).withColumn("logv", F.log("v"))
     mid = usable.groupBy("source").agg(F.percentile_approx("logv", F.array(*map(F.lit, (0.25, 0.5, 0.75))), 2000).alias("p"))
@@ -151,11 +148,11 @@ def _one_field(df: DataFrame, id_col: str, source_col: str, f: Field, c: Chart)
     seen = local.join(carry, ["source", "chunk"]).withColumn("mean", F.col("m_before") + F.col("keep") * F.col("m_in")).withColumn("square", F.col("q_before") + F.col("keep") * F.col("q_in"))
     seen = seen.withColumn("dev", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(4e-4))))
     calm = seen.filter(F.abs(F.col("logv") - F.col("mean")) <= c.limit * F.col("dev"))
-    calm = calm.join(stuck, "row_id", "left_anti")
+    calm = calm.join(stuck, ["source", "row_id"], "left_anti")
     bounds = calm.groupBy("source").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    out = rows.select("source", "row_id", "v", "bad").join(bounds, "source", "left").join(stuck, "row_id", "left")
+    out = rows.select("source", "field", "row_id", "v", "bad").join(bounds, "source", "left").join(stuck, ["source", "row_id"], "left")
     out = out.withColumn(
         "reason",
         F.when(F.col("bad"), "physical").when((F.col("v") > c.ratio * F.col("hi")) | (F.col("v") * c.ratio < F.col("lo")), "range").when(F.col("stuck"), "stuck"),
     ).filter("reason is not null")
-    return out.select("row_id", F.lit(f.name).alias("field"), "reason")
+    return out.select("row_id", "field", "reason")
