@@ -37,11 +37,15 @@ LATIN_LIKE = {
 HAN_LIKE = {"ー": "一", "㆒": "一", "ㄧ": "一", "ㅡ": "一", "ニ": "二", "ハ": "八", "ロ": "口", "エ": "工", "カ": "力", "タ": "夕", "ト": "卜", "ミ": "三", "ヒ": "匕", "丶": "、", "ㄨ": "乂", "ノ": "丿", "ナ": "十", "メ": "乄", "オ": "才", "チ": "千", "セ": "七"}
 
 
+# Mathematical signs that look like a Greek letter.
+GREEK_LIKE = {"∆": "Δ", "∑": "Σ", "∏": "Π", "µ": "μ", "Ω": "Ω"}
+
+
 @lru_cache
 def folds() -> dict[str, str]:
     """Single characters whose compatibility form is one ordinary letter, digit or Han character."""
     spans = [(0x2E80, 0x2FE0), (0xF900, 0xFB00), (0x2F800, 0x2FA20), (0xFF10, 0xFF1A), (0xFF21, 0xFF3B), (0xFF41, 0xFF5B), (0xFF66, 0xFFA0), (0x2460, 0x2460), (0x1D400, 0x1D800), (0x3192, 0x31A0)]
-    out = {}
+    out = dict(GREEK_LIKE)
     for a, b in spans:
         for o in range(a, b):
             n = unicodedata.normalize("NFKC", chr(o))
