@@ -10,6 +10,7 @@ from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
 from bondlake.llm.survivor import bond_key, survivors
 from bondlake.llm.tables import table
+from bondlake.llm.truncation import cut_scores, cut_share
 
 SURVIVOR_FIELDS = ["bond_short_name", "coupon_rate_pct", "total_amount_yi", "value_date", "payment_freq"]
 
@@ -34,7 +35,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anns.unionByName(results).select("row_id", "field")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p5_found, p6_found)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_scores(table(spark, sf_dir, "documents"), "doc_id").filter("cut").select(F.col("row_id").alias("doc_id"))
+
+
+def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p5_found, p6_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
