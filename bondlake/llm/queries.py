@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bondlake.llm.leaks import leaked
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
 from bondlake.llm.survivor import bond_key, survivors
@@ -35,6 +36,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anns.unionByName(results).select("row_id", "field")
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"), "doc_id", "item_id")
+    return found.select("item_id", "doc_id")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_scores(table(spark, sf_dir, "documents"), "doc_id").filter("cut").select(F.col("row_id").alias("doc_id"))
 
@@ -43,7 +49,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p5_found, p6_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
