@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from bondlake.llm.leaks import leaked
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
+from bondlake.llm.pagenoise import find_noise, repair_text
 from bondlake.llm.survivor import bond_key, survivors
 from bondlake.llm.tables import table
 from bondlake.llm.truncation import cut_scores, cut_share
@@ -16,6 +17,14 @@ from bondlake.llm.truncation import cut_scores, cut_share
 SURVIVOR_FIELDS = ["bond_short_name", "coupon_rate_pct", "total_amount_yi", "value_date", "payment_freq"]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_noise(table(spark, sf_dir, "pdf_extract"), "pdf_id").withColumnRenamed("row_id", "pdf_id")
+
+
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_text(table(spark, sf_dir, "pdf_extract"), "pdf_id").withColumnRenamed("row_id", "pdf_id")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     anns, plans = table(spark, sf_dir, "state_announcements"), table(spark, sf_dir, "state_plans")
     pairs = nearest(anns, plans, "ann_id", "plan_id", (fold(F.col("province")), fold(F.col("province"))), (F.col("bid_date"), F.col("covered_period_start")), 20)
@@ -49,7 +58,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
@@ -58,7 +67,8 @@ def _sql_fold(column: str) -> str:
 
 
 def _sql_real(column: str) -> str:
-    from bondlake.llm.survivor import PLACEHOLDERS
+    from bondlake.llm.pagenoise import find_noise, repair_text
+from bondlake.llm.survivor import PLACEHOLDERS
 
     names = ", ".join("'" + p.replace("'", "''") + "'" for p in PLACEHOLDERS)
     return f"(trim(coalesce({column}::varchar, '')) <> '' and lower(trim({column}::varchar)) not in ({names}))"
