@@ -10,7 +10,7 @@ from bondlake.llm.leaks import leaked
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
 from bondlake.llm.pagenoise import find_noise, repair_text
-from bondlake.llm.survivor import bond_key, survivors
+from bondlake.llm.survivor import PLACEHOLDERS, bond_key, survivors
 from bondlake.llm.tables import table
 from bondlake.llm.truncation import cut_scores, cut_share
 
@@ -67,9 +67,6 @@ def _sql_fold(column: str) -> str:
 
 
 def _sql_real(column: str) -> str:
-    from bondlake.llm.pagenoise import find_noise, repair_text
-from bondlake.llm.survivor import PLACEHOLDERS
-
     names = ", ".join("'" + p.replace("'", "''") + "'" for p in PLACEHOLDERS)
     return f"(trim(coalesce({column}::varchar, '')) <> '' and lower(trim({column}::varchar)) not in ({names}))"
 

@@ -24,6 +24,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from bondlake.llm.sampling import smallest_hashes
+from bondlake.operators.cut import cut
+
+FIT_TAIL = 600  #: closing characters of a sampled value, within which it is cut
 TAIL = 160  #: closing characters that features are made of
 DIM = 1 << 18
 WIDTH = 40  #: feature slots of a value
@@ -34,12 +38,13 @@ _CLASS = str.maketrans({c: k for k, cs in {"0": "0123456789０１２３４５６
 
 @dataclass(frozen=True)
 class Fit:
-    sample: int = 20_000  #: most values that the model is fitted on
+    sample: int = 8_000  #: most values that the model is fitted on
     epochs: int = 6
     seed: int = 7
     threshold: float = 0.5
     peak: float = 0.02  #: a length is a limit of its source if at least this share and ``peak_rows`` values have it
     peak_rows: int = 5
+    broadcast_sources: int = 20_000  #: a table of limits of at most so many sources is sent to every task
 
 
 def _shape(s: str) -> str:
@@ -149,8 +154,8 @@ def cut_scores(df: DataFrame, id_col: str, text_col: str = "text", source_col: s
     spark = df.sparkSession
     t = F.col(text_col)
     base = df.filter(t.isNotNull() & (F.length(F.trim(t)) > 0)).select(
-        F.col(id_col).alias("row_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.right(t, F.lit(TAIL)).alias("tail"),
-        F.length(t).alias("chars"), F.octet_length(t).alias("bytes"),
+        F.col(id_col).alias("row_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.right(t, F.lit(FIT_TAIL)).alias("tail"),
+        F.length(t).alias("chars"), F.octet_length(t).alias("bytes"), F.xxhash64(t).alias("h"),
     )
     # bytes = ascii + 3 * wide nearly always, so this is the length in double-byte units
     base = base.withColumn("dbcs", (F.col("chars") + (F.col("bytes") - F.col("chars")) / 2).cast("int"))
@@ -160,15 +165,17 @@ def cut_scores(df: DataFrame, id_col: str, text_col: str = "text", source_col: s
     peaks = lens.join(total, "source").filter((F.col("n") >= conf.peak_rows) & (F.col("n") >= conf.peak * F.col("of")))
     # at most 1 / peak lengths of each kind can be limits of a source
     limits = peaks.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(":"), F.col("len").cast("string")), F.col("n") / F.col("of")))).alias("limits"))
+    n_all = total.agg(F.sum("of")).first()[0] or 0
     keys = [F.concat(F.lit(f"{k}:"), F.floor(F.col(k) / (1 if k == "chars" else 4)).cast("string")) for k in kinds]
-    scored = base.join(limits, "source", "left")
+    limits = cut(limits)
+    # a row per source: sent to every task where that is few, joined with its skew split elsewhere
+    limits = F.broadcast(limits) if limits.count() <= conf.broadcast_sources else limits
+    joined = base.join(limits, "source", "left")
     share = F.greatest(*[F.coalesce(F.try_element_at("limits", k), F.lit(0.0)) for k in keys])
-    scored = scored.select("row_id", "source", "tail", share.alias("at_limit"))
-
-    whole = df.filter(t.isNotNull() & (F.length(F.trim(t)) > 0)).select(F.right(t, F.lit(1500)).alias("tail"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.length(t).alias("chars"), F.octet_length(t).alias("bytes"), F.xxhash64(t).alias("h"))
-    whole = whole.withColumn("dbcs", (F.col("chars") + (F.col("bytes") - F.col("chars")) / 2).cast("int")).join(limits, "source", "left").filter(share < conf.peak)
-    # the sample is bounded; it is the values with the smallest hashes
-    picked = whole.withColumn("r", F.xxhash64("h", F.lit(conf.seed))).orderBy("r").limit(conf.sample).select("tail").collect()
+    scored = joined.select("row_id", "source", F.right("tail", F.lit(TAIL)).alias("tail"), share.alias("at_limit"))
+    # intact-looking values: a bounded sample of those whose length is no limit of their source
+    usable = joined.filter(share < conf.peak).select("tail", "h")
+    picked = smallest_hashes(usable, "h", conf.sample, conf.seed, n_all).select("tail").collect()
     if not picked:
         return scored.select("row_id", "source", F.lit(0.0).alias("score"), F.lit(False).alias("cut"))
     w = spark.sparkContext.broadcast(train([(r.tail, 0.0) for r in picked], conf).astype(np.float32))
