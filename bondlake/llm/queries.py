@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bondlake.llm.leaks import leaked
+from bondlake.llm.linkage import described_announcement, described_result, link
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
 from bondlake.llm.pagenoise import find_noise, repair_text
@@ -25,6 +26,20 @@ def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_text(table(spark, sf_dir, "pdf_extract"), "pdf_id").withColumnRenamed("row_id", "pdf_id")
 
 
+def _bond_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    anns, results = table(spark, sf_dir, "state_announcements"), table(spark, sf_dir, "state_results")
+    links = link(anns, results, "ann_id", "result_id", described_announcement(), described_result())
+    return links.withColumnsRenamed({"left_id": "ann_id", "right_id": "result_id"})
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bond_links(spark, sf_dir).select("ann_id", "result_id")
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bond_links(spark, sf_dir).withColumn("confidence", F.round("confidence", 3))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     anns, plans = table(spark, sf_dir, "state_announcements"), table(spark, sf_dir, "state_plans")
     pairs = nearest(anns, plans, "ann_id", "plan_id", (fold(F.col("province")), fold(F.col("province"))), (F.col("bid_date"), F.col("covered_period_start")), 20)
@@ -58,7 +73,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
