@@ -10,6 +10,7 @@ from bondlake.llm.leaks import leaked
 from bondlake.llm.linkage import described_announcement, described_result, link
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
+from bondlake.llm.packing import fill, pack
 from bondlake.llm.pagenoise import find_noise, repair_text
 from bondlake.llm.survivor import PLACEHOLDERS, bond_key, survivors
 from bondlake.llm.tables import table
@@ -60,6 +61,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anns.unionByName(results).select("row_id", "field")
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_capacity"), "doc_id")
+    return packed.withColumnRenamed("row_id", "doc_id")
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill(p7_containers(spark, sf_dir), table(spark, sf_dir, "pack_capacity"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"), "doc_id", "item_id")
     return found.select("item_id", "doc_id")
@@ -73,7 +83,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p4_found, p5_found, p6_found, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p4_found, p5_found, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
