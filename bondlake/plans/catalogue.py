@@ -202,36 +202,39 @@ def plan_lead_top30(spark, d):
     return plan_actual_range_join(spark, d).orderBy("plan_id").limit(30)
 
 
-MONTH = F.lit("2022-04-01").cast("date")
+def _month():
+    return F.lit("2022-04-01").cast("date")
+
+
 SUMS = "round(sum(coalesce(plan_general_amount_yi, 0)), 2) as general, round(sum(coalesce(plan_special_amount_yi, 0)), 2) as special, round(sum(coalesce(plan_refinancing_amount_yi, 0)), 2) as refi"
 PROVINCE_SQL = f"select province, {SUMS}, round(sum(coalesce(plan_general_amount_yi, 0)) + sum(coalesce(plan_special_amount_yi, 0)) + sum(coalesce(plan_refinancing_amount_yi, 0)), 2) as total from state_plans where covered_period_start = date '2022-04-01' and province is not null group by 1"
 
 
 @query(PROVINCE_SQL)
 def plan_month_by_province(spark, d):
-    return A.month_by_province(A.month_slice(read(spark, d, "state_plans"), MONTH))
+    return A.month_by_province(A.month_slice(read(spark, d, "state_plans"), _month()))
 
 
 @query(f"""with p as (select r.region, {SUMS} from state_plans s join dim_region r using (province) where covered_period_start = date '2022-04-01' group by 1)
            select region, ord, coalesce(general, 0.0) as general, coalesce(special, 0.0) as special, coalesce(refi, 0.0) as refi from (select distinct region, ord from dim_region) left join p using (region)""")
 def plan_month_by_region_reindexed(spark, d):
-    return A.month_by_region(A.month_slice(read(spark, d, "state_plans"), MONTH), read(spark, d, "dim_region"))
+    return A.month_by_region(A.month_slice(read(spark, d, "state_plans"), _month()), read(spark, d, "dim_region"))
 
 
 @query("select max(pub_date) as as_of from state_plans where covered_period_start = date '2022-04-01'")
 def plan_as_of(spark, d):
-    return A.month_slice(read(spark, d, "state_plans"), MONTH).agg(F.max("pub_date").alias("as_of"))
+    return A.month_slice(read(spark, d, "state_plans"), _month()).agg(F.max("pub_date").alias("as_of"))
 
 
-@query(f"select count(*) as covered, round(sum(total), 1) as total_yi from ({PROVINCE_SQL})")
+@query(f"select count(*) as covered, round(sum(total), 1) as total_yi from ({PROVINCE_SQL}) having count(*) > 0")
 def plan_month_totals(spark, d):
-    x = P.month_payload(read(spark, d, "state_plans"), read(spark, d, "dim_region"), 37, MONTH)
+    x = P.month_payload(read(spark, d, "state_plans"), read(spark, d, "dim_region"), 37, _month())
     return x.select(F.col("covered").cast("long").alias("covered"), F.col("totalYi").alias("total_yi"))
 
 
 @query()
 def month_payload_json(spark, d):
-    return P.month_json(P.month_payload(read(spark, d, "state_plans"), read(spark, d, "dim_region"), 37, MONTH))
+    return P.month_json(P.month_payload(read(spark, d, "state_plans"), read(spark, d, "dim_region"), 37, _month()))
 
 
 ISSUE_SQL = r"""results as (select *, coalesce(try_strptime(regexp_replace(regexp_replace(trim(issue_date), '[年月/.]', '-', 'g'), '日$', ''), '%Y-%m-%d')::date, case when regexp_matches(trim(issue_date), '^\d{8}$') then try_strptime(trim(issue_date), '%Y%m%d')::date end) as issued from state_results)"""
@@ -545,7 +548,7 @@ PLAN_DOCS = [
 ]
 
 
-@query("""select * from (values (1, null, 2026, 8, 8, date '2026-08-01', date '2026-08-31', 1234.5, 100.0, 20.0), (2, '北京市', 2019, 7, 9, date '2019-07-01', date '2019-09-30', 11.0, 100.0, 200.5),
+@query("""select * replace (refi::double as refi, general::double as general, special::double as special) from (values (1, null, 2026, 8, 8, date '2026-08-01', date '2026-08-31', 1234.5, 100.0, 20.0), (2, '北京市', 2019, 7, 9, date '2019-07-01', date '2019-09-30', 11.0, 100.0, 200.5),
     (3, null, 2024, 2, 2, date '2024-02-01', date '2024-02-29', null, null, null), (4, null, 2026, 13, 13, null, null, null, null, null), (5, '天津市', null, null, null, null, null, null, null, null)) t(id, province, y, m1, m2, s, e, refi, general, special)""")
 def plan_extraction(spark, d):
     x = spark.createDataFrame(PLAN_DOCS, "id int, title string, text string, method string")
@@ -583,7 +586,7 @@ def _docs(spark, rows, day="2026-07-15"):
     return x.selectExpr("*", f"date '{day}' as pub_date", "'s' as source_name", "'d' as doc_type")
 
 
-@query("""select * from (values ('u1', '北京市', 'new_special', '10Y', 12, 12, null, 1000.5, date '2026-07-24', 9, 7, '财库〔2020〕43号'), ('u1', '北京市', 'new_general', '5Y', 12, null, '8,9,10', 100.0, date '2026-07-24', 9, 7, '财库〔2020〕43号'),
+@query("""select * replace (total_amount_yi::double as total_amount_yi) from (values ('u1', '北京市', 'new_special', '10Y', 12, 12, null, 1000.5, date '2026-07-24', 9, 7, '财库〔2020〕43号'), ('u1', '北京市', 'new_general', '5Y', 12, null, '8,9,10', 100.0, date '2026-07-24', 9, 7, '财库〔2020〕43号'),
     ('u2', '天津市', 'new_general', null, null, null, null, 20.0, date '2026-07-01', -14, null, null), ('u3', '上海市', null, null, null, null, null, null, null, null, null, null)) t(url, province, category_code, term, batch_no, issue_no, issue_no_range, total_amount_yi, bid_date, natural_day_gap, workday_gap, doc_no)""")
 def announcement_extraction(spark, d):
     from datetime import date
@@ -607,7 +610,7 @@ RESULT_DOCS = [
 ]
 
 
-@query("""select * from (values ('r1', '2205123', 'new_special', '10Y', 1000.0, 3.28, 'text', 0), ('r1', null, 'refinancing', '5Y', null, null, 'text', 3), ('r2', null, null, null, null, null, 'unsupported_legacy_format', 1), ('r3', null, null, null, null, null, 'text', 1)) t(url, bond_code, category_code, term, total_amount_yi, coupon_rate_pct, extraction_method, notes)""")
+@query("""select * replace (total_amount_yi::double as total_amount_yi, coupon_rate_pct::double as coupon_rate_pct) from (values ('r1', '2205123', 'new_special', '10Y', 1000.0, 3.28, 'text', 0), ('r1', null, 'refinancing', '5Y', null, null, 'text', 3), ('r2', null, null, null, null, null, 'unsupported_legacy_format', 1), ('r3', null, null, null, null, null, 'text', 1)) t(url, bond_code, category_code, term, total_amount_yi, coupon_rate_pct, extraction_method, notes)""")
 def result_extraction(spark, d):
     x = E.results(_docs(spark, RESULT_DOCS))
     return x.select("url", "bond_code", "category_code", "term", "total_amount_yi", "coupon_rate_pct", "extraction_method", F.when(F.col("warnings") == "", 0).otherwise(F.size(F.split("warnings", "; "))).alias("notes"))

@@ -112,7 +112,8 @@ def listing_items(pages: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(*key, i, *r) for key, html in zip(b[keep].itertuples(index=False, name=None), b["html"], strict=True) for i, r in enumerate(listing_rows(html))]
+            keys = list(b[keep].itertuples(index=False, name=None)) if keep else [()] * len(b)
+            rows = [(*key, i, *r) for key, html in zip(keys, b["html"], strict=True) for i, r in enumerate(listing_rows(html))]
             yield pd.DataFrame(rows, columns=[*keep, "feed_pos", "url", "title", "_date"])
 
     x = pages.mapInPandas(parse, schema)
