@@ -121,12 +121,16 @@ def apply_repairs(t: str, known: set[str]) -> str:
     return "".join(out) + t[at:]
 
 
-#: A value of only these characters, without odd spacing, is in the consistent form already.
-CLEAN = r"^(?! )(?!.* $)(?!.*  )(?:[!-~\x{3007}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{3001}-\x{3006}\x{3008}-\x{301f}\x{ff01}-\x{ff0f}\x{ff1a}-\x{ff20}\x{ff3b}-\x{ff40}\x{ff5b}-\x{ff65}\x{2010}-\x{2027}\x{b7}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}]|(?<=[!-~\x{c0}-\x{17f}]) (?=[!-~\x{c0}-\x{17f}]))*$"
+_LATIN = r"!-~\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}"
+#: What a value in the consistent form doesn't have: other characters, or a space that isn't between two words.
+UNCLEAN = (
+    rf"[^ {_LATIN}\x{{3007}}\x{{3400}}-\x{{4dbf}}\x{{4e00}}-\x{{9fff}}\x{{3001}}-\x{{3006}}\x{{3008}}-\x{{301f}}\x{{ff01}}-\x{{ff0f}}\x{{ff1a}}-\x{{ff20}}\x{{ff3b}}-\x{{ff40}}\x{{ff5b}}-\x{{ff65}}\x{{2010}}-\x{{2027}}\x{{b7}}]"
+    rf"|(?<![{_LATIN}]) | (?![{_LATIN}])"
+)
 
 
 def is_clean(c: Column) -> Column:
-    return c.rlike(CLEAN)
+    return ~c.rlike(UNCLEAN)
 
 
 def _vocabulary(values: DataFrame) -> DataFrame:
