@@ -41,7 +41,9 @@ def nearest(
     is_right = F.col("side") == 0
     rec = F.when(is_right, F.struct("d", "id"))
     x = laid.withColumn("before", F.last(rec, ignorenulls=True).over(here.rowsBetween(W.unboundedPreceding, 0)))
-    x = x.withColumn("after", F.first(rec, ignorenulls=True).over(here.rowsBetween(1, W.unboundedFollowing)))
+    # looking ahead is looking back in descending order: a frame that grows is scanned once
+    back_here = W.partitionBy("task", "e").orderBy(*[c.desc() for c in order])
+    x = x.withColumn("after", F.last(rec, ignorenulls=True).over(back_here.rowsBetween(W.unboundedPreceding, -1)))
 
     # one summary row a task: its first and last entity and their edge right records
     per = laid.groupBy("task", "e").agg(F.min(F.struct(*order)).alias("lo"), F.min(rec).alias("first"), F.max(rec).alias("last"))
@@ -49,12 +51,12 @@ def nearest(
         F.min("e").alias("e_lo"), F.max("e").alias("e_hi"), F.min_by("first", "e").alias("first"), F.max_by("last", "e").alias("last")
     )
     to_here = W.partitionBy("e").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
-    from_here = W.partitionBy("e").orderBy("task").rowsBetween(1, W.unboundedFollowing)
+    from_here = W.partitionBy("e").orderBy(F.desc("task")).rowsBetween(W.unboundedPreceding, -1)
     # an entity shared by tasks is the last of the earlier and the first of the later ones
     ahead = edge.select("task", F.col("e_hi").alias("e"), "last", F.lit(None).cast(edge.schema["first"].dataType).alias("first"))
     back = edge.select("task", F.col("e_lo").alias("e"), F.lit(None).cast(edge.schema["last"].dataType).alias("last"), "first")
     both = ahead.unionByName(back).groupBy("task", "e").agg(F.max("last").alias("last"), F.min("first").alias("first"))
-    carried = both.select("task", "e", F.last("last", ignorenulls=True).over(to_here).alias("from_before"), F.first("first", ignorenulls=True).over(from_here).alias("from_after"))
+    carried = both.select("task", "e", F.last("last", ignorenulls=True).over(to_here).alias("from_before"), F.last("first", ignorenulls=True).over(from_here).alias("from_after"))
     x = x.filter("side = 1").join(carried, ["task", "e"], "left")
     x = x.withColumn("before", F.coalesce("before", "from_before")).withColumn("after", F.coalesce("after", "from_after"))
 
