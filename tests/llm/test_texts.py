@@ -217,3 +217,44 @@ def test_hyphens():
     assert "w6" in a and "w0" in b
     assert N.ends_broken(lines[0]) and not N.ends_broken("2019-") is None
     assert N.rebuilt(lines, [False] * 3, [0], [], table) == "the underwriting of debt-service cover"
+
+
+def test_insert_puts_the_missing_character_back():
+    import numpy as np
+
+    rng = random.Random(5)
+    phrases = [HAN[p : p + 12] for p in range(0, len(HAN) - 12, 3)]
+    lines = ["，".join(rng.choice(phrases) for _ in range(4)) + "。" for _ in range(400)] + ["the treasury bureau of the district reserved money for the treasury"] * 40
+    counts = np.zeros(N.SLOTS, np.int64)
+    N.count_table(lines, counts)
+    table = np.log2(1 + counts * (1e7 / counts[: N.UNI].sum())).astype(np.float32)
+    for line, at in ((lines[0], 5), (lines[1], 20), (lines[-1], 8), (lines[-1], 21)):
+        gap = line[: at + 1] + line[at + 2 :]
+        assert N.corrected(gap, [(N.INSERT, at)], table) == line
+        assert N.corrected(line, [(N.INSERT, at)], table) == line  # nothing is missing
+    assert N.missing("项目甲", 2, table) == ""  # at a line end nothing tells which
+
+
+def test_inserts_and_joins_on_planted_cases(spark):
+    rng = random.Random(21)
+    phrases = [HAN[p : p + 12] for p in range(0, len(HAN) - 12, 3)]
+    docs, whole, joins = [], {}, 0
+    for i in range(160):
+        sizes = (rng.randrange(11, 14), rng.randrange(11, 14), rng.randrange(11, 14))
+        pars = ["，".join(rng.choice(phrases) for _ in range(n))[: 32 * (n // 3) - 1] + "。" for n in sizes]  # the last line of each is a full one
+        whole[i] = "\n".join(pars)
+        lines = [p[k : k + 32] for p in pars for k in range(0, len(p), 32)]
+        if i % 2:
+            for j, x in enumerate(lines):
+                at = [k for k in range(4, len(x) - 4) if "，" not in x[k - 3 : k + 4]]
+                if at and rng.random() < 0.2:
+                    k = rng.choice(at)
+                    lines[j] = x[:k] + x[k + 1 :]
+        docs.append((i, "\n".join(lines) if i % 2 else whole[i], 1))
+    df = spark.createDataFrame(docs, "pdf_id long, text string, n_pages int")
+    text = {r.row_id: r.text for r in N.repair_text(df, "pdf_id", conf=N.Fit(sample=120, chars=120_000, epochs=5)).collect()}
+    ends = lambda t: sum(p.endswith("。") for p in t.split("\n"))
+    assert sum(ends(text[i]) == 3 for i in whole) > 0.9 * len(whole)
+    gone = sum(len(whole[i]) - len(t.replace("\n", "")) + 2 for i, t in ((i, docs[i][1]) for i in whole if i % 2))
+    left = sum(max(0, len(whole[i].replace("\n", "")) - len(text[i].replace("\n", ""))) for i in whole if i % 2)
+    assert gone > 100 and left < 0.5 * gone
