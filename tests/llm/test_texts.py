@@ -258,3 +258,16 @@ def test_inserts_and_joins_on_planted_cases(spark):
     gone = sum(len(whole[i]) - len(t.replace("\n", "")) + 2 for i, t in ((i, docs[i][1]) for i in whole if i % 2))
     left = sum(max(0, len(whole[i].replace("\n", "")) - len(text[i].replace("\n", ""))) for i in whole if i % 2)
     assert gone > 100 and left < 0.5 * gone
+
+
+def test_page_grid_of_long_scans_and_long_headers():
+    body = lambda p, j: f"{HAN[(7 * p + 11 * j) % 60 :][:14]}{chr(0x4E00 + p)}{chr(0x5E00 + j)}{HAN[(5 * p + j) % 50 :][:9]}"
+    header = "某市财政局关于政府债券信息披露材料的说明" * 4
+    for head in ("某市财政局披露材料", header):
+        lines = [x for p in range(450) for x in [head, *(body(p, j) for j in range(10)), f"— {p + 1} —"]]
+        g = N.page_grid(lines, 450)
+        assert g.period == 12
+        assert all(g.sure[i] == 1 for i in range(0, len(lines), 12)) and all(g.sure[i] == 1 for i in range(11, len(lines), 12))
+        assert not any(g.sure[i] == 1 for i in range(len(lines)) if i % 12 not in (0, 11))
+        none = N.Models(None, N.Linear(), None, None, None, 0.0)
+        assert N.read_page("\n".join(lines), 450, none)[1] == [i % 12 in (0, 11) for i in range(len(lines))]
