@@ -1,25 +1,31 @@
 """Matching entities across sources without keys: soft logic solved by alternating directions.
 
-Mentions are the distinct descriptions in either table; copies and repeated rows collapse
-into one mention before anything else, so a hot group costs one mention. Mentions meet
-only inside a block. A candidate link has a value in [0, 1]; weighted rules speak about it:
-
-  same number -> link          other number -> no link
-  same amount, term, batch, dates, each to its degree -> link
-  other amount, term, batch, dates -> no link
+Rows with one description are one mention; mentions that a key of their own source ties
+together (a code, or a known number of a known block) are one entity, whose attributes are
+those of its most frequent mentions. So copies and hot groups cost one entity. A candidate
+link of two entities has a value in [0, 1]; weighted rules speak about it:
+
+  same number -> link          other number, kind, year -> no link
+  same amount, term, batch, dates, place, similar name, each to its degree -> link
+  other amount, term, batch, dates, place, unlike name -> no link
   no evidence -> no link (prior)
-  link(a, r) and alike(r, r') -> link(a, r')        (transitivity; alike: one code, or one description)
+  link(a, r) and alike(r, r') -> link(a, r')        (transitivity; alike: one description)
   a right-hand entity belongs to one left-hand entity, and of a left-hand entity's links
   to entities with different codes the values add up to 1 at most   (exclusivity)
 
 Every rule is a squared hinge of a linear form, exclusivity is a linear constraint: a
 convex problem. Consensus ADMM gives each rule its own copy of the values it speaks about,
-solves all rules at once in closed form, averages the copies, and repeats. Blocks share no
-value, so tasks solve their buckets of blocks independently and in parallel; inside a task
-all rules of a bucket are solved as vectors. The value of a link is its confidence.
-
-Candidates come from keys inside the block (number; term with amount; amount; batch with
-term), so no block is paired exhaustively.
+solves all rules at once in closed form, averages the copies, and repeats. A link that
+shares no rule with another has a closed form. The others fall into connected components
+(found by alternating large and small stars over the edges), which share no value: tasks
+solve whole components, each with a stop of its own, so no value depends on what else is in
+the task. A component of more than ``component`` links is solved by the same rounds as
+aggregates over its copies and constraints, spread over all tasks. The value of a link is
+its confidence.
+
+Candidates come from keys of several attributes (number; amount; term with batch; term with
+day; inside a known year, place and family; amount or number with day elsewhere); nothing is
+paired exhaustively, and a key with a null part doesn't exist.
 """
 
 from __future__ import annotations
@@ -37,11 +43,16 @@ from bondlake.operators.cut import cut
 
 @dataclass(frozen=True)
 class Rules:
-    """Weights of the rules."""
+    """Weights of the rules, and bounds of the solver."""
 
     number: float = 6.0
     number_not: float = 12.0
     kind_not: float = 8.0
+    year_not: float = 6.0
+    place: float = 0.5
+    place_not: float = 6.0
+    name: float = 0.5
+    name_not: float = 1.0
     amount: float = 2.5
     amount_not: float = 2.0
     term: float = 0.8
@@ -51,19 +62,23 @@ class Rules:
     day: float = 1.2
     day_not: float = 2.0
     prior: float = 2.0
+    unnumbered: float = 1.15  #: where a number is unknown the other rules for a link weigh so much more
     alike: float = 4.0
     rho: float = 2.0
-    steps: int = 120
-    tolerance: float = 1e-4
+    steps: int = 1_000  #: most rounds of a component
+    tolerance: float = 1e-4  #: a component stops when none of its values moves more
     accept: float = 0.5
-    bucket: int = 20_000  #: mentions a task solves together, on average
+    bucket: int = 20_000  #: links a task solves together, on average
+    component: int = 100_000  #: links of a component that one task solves, at most
+    every: int = 5  #: rounds of an oversized component between two cuts of the lineage
 
 
-def solve(n: int, pro: np.ndarray, con: np.ndarray, groups: tuple[np.ndarray, np.ndarray], implies: np.ndarray, alike: float, rho: float, steps: int, tolerance: float) -> np.ndarray:
+def solve(n: int, pro: np.ndarray, con: np.ndarray, groups: tuple[np.ndarray, np.ndarray], implies: np.ndarray, component: np.ndarray, r: Rules) -> np.ndarray:
     """Consensus ADMM for n values.
 
     ``pro`` and ``con`` weigh (1 - y)^2 and y^2; ``groups`` = (value, constraint): values of
     one constraint add up to 1 at most; ``implies`` = rows (x, y): alike * max(0, x - y)^2.
+    A component stops by itself once its values rest.
     """
     if not n:
         return np.zeros(0)
@@ -74,161 +89,238 @@ def solve(n: int, pro: np.ndarray, con: np.ndarray, groups: tuple[np.ndarray, np
     copies = 1 + np.bincount(gv, minlength=n) + np.bincount(ix, minlength=n) + np.bincount(iy, minlength=n)
     z = pro / np.maximum(pro + con, 1e-9)
     u1, u2, u3, u4 = np.zeros(n), np.zeros(len(gv)), np.zeros(len(ix)), np.zeros(len(ix))
-    for _ in range(steps):
+    live = np.ones(int(component.max()) + 1, bool)
+    for _ in range(r.steps):
         # the unary rules
-        y1 = (2 * pro + rho * (z - u1)) / (2 * pro + 2 * con + rho)
+        y1 = (2 * pro + r.rho * (z - u1)) / (2 * pro + 2 * con + r.rho)
         # exclusivity: project on sum <= 1
         v2 = z[gv] - u2
-        over = np.maximum(0, np.bincount(gc, v2, minlength=m) - 1) / size if m else size
-        y2 = v2 - over[gc] if m else v2
+        y2 = v2 - (np.maximum(0, np.bincount(gc, v2, minlength=m) - 1) / size)[gc] if m else v2
         # transitivity: closed form of the squared hinge
         vx, vy = z[ix] - u3, z[iy] - u4
-        gap = np.maximum(0, vx - vy)
-        move = 2 * alike * gap / (rho + 4 * alike)
+        move = 2 * r.alike * np.maximum(0, vx - vy) / (r.rho + 4 * r.alike)
         y3, y4 = vx - move, vy + move
         new = (y1 + u1 + np.bincount(gv, y2 + u2, minlength=n) + np.bincount(ix, y3 + u3, minlength=n) + np.bincount(iy, y4 + u4, minlength=n)) / copies
-        new = np.clip(new, 0, 1)
+        new = np.where(live[component], np.clip(new, 0, 1), z)
         u1 += y1 - new
         u2 += y2 - new[gv]
         u3 += y3 - new[ix]
         u4 += y4 - new[iy]
-        done = np.abs(new - z).max() < tolerance
+        moved = np.zeros(len(live))
+        np.maximum.at(moved, component, np.abs(new - z))
+        live &= moved >= r.tolerance
         z = new
-        if done:
+        if not live.any():
             break
     return z
 
 
-def _pairs(left: pd.DataFrame, right: pd.DataFrame, on: list[str]) -> pd.DataFrame:
-    a, b = left.dropna(subset=on), right.dropna(subset=on)
-    return a[["block", "lid", *[c for c in on if c != "block"]]].merge(b[["block", "rid", *[c for c in on if c != "block"]]], on=on)[["lid", "rid"]]
-
-
-def _days(a: pd.Series, b: pd.Series) -> np.ndarray:
-    return (a.to_numpy(float) - b.to_numpy(float)).astype(float)
-
-
-def link_bucket(pdf: pd.DataFrame, r: Rules) -> pd.DataFrame:
-    """Links of whole blocks: (left mention, right mention, confidence)."""
-    pdf = pdf.reset_index(drop=True)
-    none = pd.DataFrame({"left_mention": pd.Series(dtype="int64"), "right_mention": pd.Series(dtype="int64"), "confidence": pd.Series(dtype="float64")})
-    left, right = pdf[pdf["side"] == 0].copy(), pdf[pdf["side"] == 1].copy()
-    if left.empty or right.empty:
-        return none
-    left["lid"], right["rid"] = np.arange(len(left)), np.arange(len(right))
-    for d in (left, right):
-        for c in ("number", "term", "amount", "batch", "day1", "day2"):
-            d[c] = d[c].astype(float)
-    # entities on the right: rows with one code are one bond; their known numbers are shared
-    code = right["code"].where(right["code"].notna(), "\0" + right["rid"].astype(str))
-    right["entity"] = pd.factorize(pd.Series(list(zip(right["block"], code, strict=True))))[0]
-    known = right.dropna(subset=["number"]).groupby("entity")["number"].agg(lambda x: x.mode().iloc[0])
-    right["number"] = right["number"].fillna(right["entity"].map(known))
-    kinds = right[right["kind"] != "?"].groupby("entity")["kind"].agg(lambda x: x.mode().iloc[0])
-    right["kind"] = right["kind"].where(right["kind"] != "?", right["entity"].map(kinds)).fillna("?")
-    # amounts meet in neighbouring cells of a logarithmic grid of 2 percent
-    for d in (left, right):
-        d["cell"] = np.floor(np.log(d["amount"].where(d["amount"] > 0)) / 0.02)
-    parts = [_pairs(left, right, ["block", "number"])]
-    for shift in (-1, 0, 1):
-        moved = right.assign(cell=right["cell"] + shift)
-        parts.append(_pairs(left, moved, ["block", "cell"]))
-    thin = right[right["number"].isna() & right["amount"].isna()]
-    thin_left = left[left["number"].isna()]
-    parts += [_pairs(left, thin, ["block", "term", "batch"]), _pairs(thin_left, right, ["block", "term", "batch"]), _pairs(left, thin, ["block", "term", "day2"])]
-    c = pd.concat(parts).drop_duplicates()
-    if c.empty:
-        return none
-    a, b = left.iloc[c["lid"]].reset_index(drop=True), right.iloc[c["rid"]].reset_index(drop=True)
-    pro, con = np.zeros(len(c)), np.full(len(c), r.prior)
-
-    def rule(x: np.ndarray, degree: np.ndarray, plus: float, minus: float) -> None:
-        nonlocal pro, con
-        pro = pro + np.where(x, plus * degree, 0)
-        con = con + np.where(x, minus * (1 - degree), 0)
-
-    both = (a["number"].notna() & b["number"].notna()).to_numpy()
-    rule(both, (a["number"] == b["number"]).to_numpy(float), r.number, r.number_not)
-    kinds = ((a["kind"] != "?") & (b["kind"] != "?")).to_numpy()
-    rule(kinds, (a["kind"] == b["kind"]).to_numpy(float), 0.0, r.kind_not)
-    amounts = (a["amount"].notna() & b["amount"].notna() & (a["amount"] > 0) & (b["amount"] > 0)).to_numpy()
-    with np.errstate(all="ignore"):
-        off = np.abs(np.log(a["amount"].where(a["amount"] > 0).to_numpy(float) / b["amount"].where(b["amount"] > 0).to_numpy(float)))
-    rule(amounts, np.clip(np.where(np.isfinite(off), 1.5 - off / 0.02, 0), 0, 1), r.amount, r.amount_not)
-    rule((a["term"].notna() & b["term"].notna()).to_numpy(), (a["term"] == b["term"]).to_numpy(float), r.term, r.term_not)
-    rule((a["batch"].notna() & b["batch"].notna()).to_numpy(), (a["batch"] == b["batch"]).to_numpy(float), r.batch, r.batch_not)
-    for col in ("day1", "day2"):
-        gap = np.abs(_days(a[col], b[col]))
-        rule(np.isfinite(gap), np.clip(np.where(np.isfinite(gap), 1.6 - gap / 5, 0), 0, 1), r.day / 2, r.day_not / 2)
-    if r.number and (~both).any():
-        # without a number on one side the other attributes have to carry the link
-        pro = pro * np.where(both, 1.0, 1.15)
-
-    # exclusivity: a right entity has one left entity (a number, or an unnumbered mention) ...
-    lent = pd.factorize(pd.Series(list(zip(a["block"], a["kind"], a["number"].where(a["number"].notna(), -1.0 - a["lid"]), strict=True))))[0]
-    rent = b["entity"].to_numpy()
-    var_key = pd.factorize(pd.Series(list(zip(lent, rent, strict=True))))[0]
-    n = int(var_key.max()) + 1
-    count = np.bincount(var_key, minlength=n)
-    vpro, vcon = np.bincount(var_key, pro, minlength=n) / count, np.bincount(var_key, con, minlength=n) / count
-    first = np.full(n, -1)
-    first[var_key[::-1]] = np.arange(len(c))[::-1]
-    vl, vr = lent[first], rent[first]
-    coded = b["code"].notna().to_numpy()[first]
+def solve_bucket(pdf: pd.DataFrame, r: Rules) -> pd.DataFrame:
+    """Values of the links of whole components."""
+    n = len(pdf)
+    left, right = pd.factorize(pdf["left"])[0], pd.factorize(pdf["right"])[0]
+    coded = pdf["coded"].to_numpy(bool)
     gv = np.concatenate([np.arange(n), np.flatnonzero(coded)])
-    gc = np.concatenate([vr, (vr.max() + 1) + vl[coded]]) if n else np.zeros(0, int)
-    _, gc = np.unique(gc, return_inverse=True)
-    # transitivity: an uncoded description equal to that of a coded entity
-    desc = pd.Series(list(zip(b["block"], b["kind"], b["number"].fillna(-1), b["term"].fillna(-1), strict=True)))[first]
-    has = (b["number"].notna().to_numpy())[first]
-    t = pd.DataFrame({"v": np.arange(n), "l": vl, "d": pd.factorize(desc)[0], "coded": coded})[has]
-    imp = t[t["coded"]].merge(t[~t["coded"]], on=["l", "d"])[["v_x", "v_y"]].to_numpy()
-    y = solve(n, vpro, vcon, (gv, gc), imp, r.alike, r.rho, r.steps, r.tolerance)
-    conf = y[var_key]
-    keep = conf >= r.accept
-    return pd.DataFrame({"left_mention": a["mention"].to_numpy()[keep].astype("int64"), "right_mention": b["mention"].to_numpy()[keep].astype("int64"), "confidence": conf[keep]})
-
-
-COLUMNS = ["block", "kind", "number", "term", "amount", "batch", "day1", "day2", "code"]
-
-
-def mentions(df: DataFrame, id_col: str, described: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(distinct descriptions with the smallest id as their name, (mention, row_id) of every row)."""
-    rows = df.select(F.col(id_col).cast("long").alias("row_id"), *[described.get(c, F.lit(None)).alias(c) for c in COLUMNS]).filter("block is not null")
-    rows = rows.select("row_id", F.col("block").cast("string"), F.coalesce(F.col("kind").cast("string"), F.lit("?")).alias("kind"), *[F.col(c).cast("double") for c in ("number", "term", "amount", "batch", "day1", "day2")], F.col("code").cast("string"))
-    rows = rows.withColumn("h", F.xxhash64(*COLUMNS))
-    distinct = rows.groupBy("h", *COLUMNS).agg(F.min("row_id").alias("mention"))
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"r.{c}")) for c in COLUMNS]
-    on = F.col("r.h") == F.col("m.h")
-    for s in same:
-        on = on & s
-    member = rows.alias("r").join(distinct.alias("m"), on).select("mention", "row_id")
-    return distinct.select("mention", *COLUMNS), member
+    _, gc = np.unique(np.concatenate([right, right.max() + 1 + left[coded]]), return_inverse=True)
+    t = pdf[pdf["like"].notna()].assign(v=np.flatnonzero(pdf["like"].notna()), coded=coded[pdf["like"].notna()])
+    # of several coded entities with one description the best speaks for the others
+    best = t[t["coded"]].sort_values(["pro", "right"], ascending=[False, True]).drop_duplicates(["left", "like"])
+    imp = best.merge(t[~t["coded"]], on=["left", "like"])[["v_x", "v_y"]].to_numpy(int)
+    y = solve(n, pdf["pro"].to_numpy(float), pdf["con"].to_numpy(float), (gv, gc), imp, pd.factorize(pdf["component"])[0], r)
+    return pd.DataFrame({"left": pdf["left"].to_numpy(), "right": pdf["right"].to_numpy(), "confidence": y})
+
+
+def solve_spread(links: DataFrame, r: Rules) -> DataFrame:
+    """The same rounds as aggregates: every copy of a value is a row, every constraint a group."""
+    base = cut(links.withColumn("v", F.xxhash64("left", "right")))
+    like = base.filter("like is not null")
+    best = like.filter("coded").groupBy("left", "like").agg(F.max_by("v", F.struct("pro", -F.col("right"))).alias("x"))
+    imp = best.join(like.filter("not coded"), ["left", "like"]).select("x", F.col("v").alias("y"), F.xxhash64(F.lit("i"), "v").alias("c"))
+    member = lambda v, c, role: F.struct(v.alias("v"), c.alias("c"), F.lit(role).alias("role"))
+    copies = (
+        base.select("v", F.xxhash64(F.lit("r"), "right").alias("c"), F.lit(0).alias("role"))
+        .unionByName(base.filter("coded").select("v", F.xxhash64(F.lit("l"), "left").alias("c"), F.lit(0).alias("role")))
+        .unionByName(imp.select(F.explode(F.array(member(F.col("x"), F.col("c"), 1), member(F.col("y"), F.col("c"), 2))).alias("m")).select("m.*"))
+    )
+    copies = cut(copies.withColumn("u", F.lit(0.0)))
+    values = base.select("v", "pro", "con", (F.col("pro") / F.greatest(F.col("pro") + F.col("con"), F.lit(1e-9))).alias("z"), F.lit(0.0).alias("u1"))
+    for step in range(1, r.steps + 1):
+        w = copies.join(values.select("v", "z"), "v").withColumn("w", F.col("z") - F.col("u"))
+        by_role = lambda k: F.coalesce(F.max(F.when(F.col("role") == k, F.col("w"))), F.lit(0.0))
+        per = w.groupBy("c").agg(
+            (F.greatest(F.lit(0.0), F.sum(F.when(F.col("role") == 0, F.col("w")).otherwise(0.0)) - 1) / F.count(F.lit(1))).alias("over"),
+            (2 * r.alike * F.greatest(F.lit(0.0), by_role(1) - by_role(2)) / (r.rho + 4 * r.alike)).alias("move"),
+        )
+        y = w.join(per, "c").withColumn("y", F.col("w") - F.when(F.col("role") == 0, F.col("over")).when(F.col("role") == 1, F.col("move")).otherwise(-F.col("move")))
+        mean = y.groupBy("v").agg(F.sum(F.col("y") + F.col("u")).alias("s"), F.count(F.lit(1)).alias("k"))
+        own = (2 * F.col("pro") + r.rho * (F.col("z") - F.col("u1"))) / (2 * F.col("pro") + 2 * F.col("con") + r.rho)
+        values = values.join(mean, "v").withColumn("y1", own).withColumn("new", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("y1") + F.col("u1") + F.col("s")) / (1 + F.col("k")))))
+        copies = y.join(values.select("v", "new"), "v").select("v", "c", "role", (F.col("u") + F.col("y") - F.col("new")).alias("u"))
+        values = values.select("v", "pro", "con", F.col("new").alias("z"), (F.col("u1") + F.col("y1") - F.col("new")).alias("u1"), F.abs(F.col("new") - F.col("z")).alias("moved"))
+        if step % r.every == 0 or step == r.steps:
+            values, copies = cut(values), cut(copies)
+            if (values.agg(F.max("moved")).first()[0] or 0.0) < r.tolerance:
+                break
+        values = values.drop("moved")
+    return base.join(values.select("v", "z"), "v").select("left", "right", F.col("z").alias("confidence"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) of (a, b): alternating large and small stars, each an aggregate and a join."""
+
+    def star(e: DataFrame, large: bool) -> DataFrame:
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both if large else both.filter("b <= a")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")) if large else low.groupBy("a").agg(F.min("b").alias("m"))
+        moved = low.join(least, "a").filter("b > a" if large else "true").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        own = least.select("a", F.col("m").alias("b"))
+        return moved.unionByName(own).filter("a != b").distinct()
+
+    e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
+    sign = lambda x: tuple(x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+    seen = sign(e)
+    while True:
+        e = cut(star(star(e, True), False))
+        now = sign(e)
+        if now == seen:
+            break
+        seen = now
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_described: dict[str, Column], right_described: dict[str, Column], rules: Rules = Rules()) -> DataFrame:
-    """(left_id, right_id, confidence): row pairs that mean the same thing, repeated rows included.
+TYPES = {"year": "string", "place": "string", "family": "string", "kind": "string", "number": "int", "term": "int", "amount": "double", "batch": "int", "day1": "int", "day2": "int", "name": "string", "code": "string"}
+ATTRIBUTES = [c for c in TYPES if c != "code"]
+
+
+def described(df: DataFrame, id_col: str, columns: dict[str, Column], side: int) -> DataFrame:
+    """(side, row_id, entity, attributes) of every row; one scan."""
+    x = df.select(F.lit(side).alias("side"), F.col(id_col).cast("long").alias("row_id"), *[columns.get(c, F.lit(None)).cast(t).alias(c) for c, t in TYPES.items()]).filter("row_id is not null")
+    tied = ["year", "place", "family", "kind", "number"]
+    known = F.lit(True)
+    for c in tied:
+        known = known & F.col(c).isNotNull()
+    entity = (
+        F.when(F.col("code").isNotNull(), F.xxhash64("side", F.lit("c"), "code")).when(known, F.xxhash64("side", F.lit("n"), *tied))
+        .otherwise(F.xxhash64("side", F.lit("d"), *[x for c in ATTRIBUTES for x in (F.col(c), F.col(c).isNull())]))
+    )
+    return x.withColumn("entity", entity)
+
+
+def entities(rows: DataFrame) -> DataFrame:
+    """One row per entity: every attribute from the mention with most rows that knows it."""
+    filled = sum((F.col(c).isNotNull().cast("int") for c in ATTRIBUTES), F.lit(0))
+    mentions = rows.groupBy("side", "entity", "code", *ATTRIBUTES).agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first")).withColumn("rank", F.struct("n", filled.alias("f"), -F.col("first")))
+    return mentions.groupBy("side", "entity").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("rank"))).alias(c) for c in ATTRIBUTES], F.max(F.col("code").isNotNull()).alias("coded"), F.sum("n").alias("rows"), F.min("first").alias("first")
+    )
+
 
-    Descriptions are columns block, kind, number, term, amount, batch, day1, day2, code.
-    Rows without a block match nothing; nulls in other columns are no evidence; rows with one
-    description share their links; empty tables give no rows.
+def _keys(e: DataFrame, side: int, soft: bool) -> DataFrame:
+    """(key, entity) of one side.
+
+    Keys other than the number serve pairs of which one side has no number: an entity
+    without one has keys "a", which every entity of the other side has as well; a left
+    one with number has keys "b", which only right ones without have. The same for
+    entities of no known block, with a looser key.
+    """
+    c = F.col
+    block = F.when(c("year").isNotNull() & c("place").isNotNull() & c("family").isNotNull(), F.xxhash64("year", "place", "family"))
+    cell = F.when(c("amount") > 0, F.floor(F.log("amount") / 0.02).cast("long"))
+    cells = [cell] if side == 0 else [cell - 1, cell, cell + 1]
+    both = lambda miss: ([F.when(miss, F.lit("a")).otherwise(F.lit("b"))] if side == 0 else [F.lit("a"), F.when(miss, F.lit("b"))])
+
+    def key(tag: str, which: Column | None, *parts: Column) -> Column:
+        all_known = which.isNotNull() if which is not None else F.lit(True)
+        for p in parts:
+            all_known = all_known & p.isNotNull()
+        return F.when(all_known, F.xxhash64(F.lit(tag), *([which] if which is not None else []), *parts))
+
+    keys = [key("n", None, block, c("number"))]
+    for w in both(c("number").isNull()):
+        keys += [key("m", w, block, x) for x in cells] + [key("tb", w, block, c("term"), c("batch")), key("td", w, block, c("term"), c("day2"))]
+    if soft:
+        for w in both(block.isNull()):
+            keys += [key("sm", w, x, c("day2")) for x in cells] + [key("sn", w, c("number"), c("term"), c("day2"))]
+    return e.filter(c("side") == side).select("entity", F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
+
+
+def candidates(e: DataFrame) -> DataFrame:
+    """(left, right) entities that share a key."""
+    unknown = F.col("year").isNull() | F.col("place").isNull() | F.col("family").isNull()
+    soft = not e.filter(unknown).isEmpty()  # without such entities the loose keys would pair nothing
+    a, b = _keys(e, 0, soft), _keys(e, 1, soft)
+    return a.select("key", F.col("entity").alias("left")).join(b.select("key", F.col("entity").alias("right")), "key").select("left", "right").distinct()
+
+
+def weighed(pairs: DataFrame, e: DataFrame, r: Rules) -> DataFrame:
+    """(left, right, pro, con, coded, like): the rules that speak about one link alone, added up."""
+    side = lambda k, p: e.filter(F.col("side") == k).select(*[F.col(c).alias(f"{p}_{c}") for c in ("entity", *ATTRIBUTES, "coded")])
+    x = pairs.join(side(0, "l"), F.col("left") == F.col("l_entity")).join(side(1, "r"), F.col("right") == F.col("r_entity"))
+    a, b = (lambda c: F.col(f"l_{c}")), (lambda c: F.col(f"r_{c}"))
+    unit = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+    alike = lambda c: 1 - F.levenshtein(a(c), b(c)) / F.greatest(F.length(a(c)), F.length(b(c)), F.lit(1))
+    equal = lambda c: (a(c) == b(c)).cast("double")
+    off = F.abs(F.log(F.when(a("amount") > 0, a("amount"))) - F.log(F.when(b("amount") > 0, b("amount"))))
+    # degree (null: no evidence), weight for, weight against
+    rules = [
+        (equal("number"), r.number, r.number_not), (equal("kind"), 0.0, r.kind_not), (equal("year"), 0.0, r.year_not), (unit(2 * alike("place") - 1), r.place, r.place_not),
+        (unit(alike("name") / 0.5 - 0.4), r.name, r.name_not), (unit(1.5 - off / 0.02), r.amount, r.amount_not), (equal("term"), r.term, r.term_not), (equal("batch"), r.batch, r.batch_not),
+        *[(unit(1.6 - F.abs(a(d) - b(d)) / 5), r.day / 2, r.day_not / 2) for d in ("day1", "day2")],
+    ]
+    pro = sum((F.coalesce(plus * d, F.lit(0.0)) for d, plus, _ in rules), F.lit(0.0)) * F.when(a("number").isNotNull() & b("number").isNotNull(), 1.0).otherwise(r.unnumbered)
+    con = sum((F.coalesce(minus * (1 - d), F.lit(0.0)) for d, _, minus in rules), F.lit(r.prior))
+    told = ["year", "place", "family", "kind", "number", "term"]
+    like = F.when(b("year").isNotNull() & b("place").isNotNull() & b("kind").isNotNull() & b("number").isNotNull(), F.xxhash64(*[b(c) for c in told]))
+    return x.select("left", "right", pro.alias("pro"), con.alias("con"), b("coded").alias("coded"), like.alias("like"))
+
+
+def confident(links: DataFrame, r: Rules) -> DataFrame:
+    """(left, right, confidence) of every candidate link."""
+    per = lambda c: links.groupBy(c).agg((F.count(F.lit(1)) == 1).alias(f"only_{c}"))
+    x = cut(links.join(per("left"), "left").join(per("right"), "right"))
+    alone = F.col("only_left") & F.col("only_right")
+    out = x.filter(alone).select("left", "right", (F.col("pro") / (F.col("pro") + F.col("con"))).alias("confidence"))
+    rest = x.filter(~alone).drop("only_left", "only_right")
+    if rest.isEmpty():
+        return out
+    label = components(rest.select(F.col("left").alias("a"), F.col("right").alias("b")))
+    rest = rest.join(label.select(F.col("node").alias("left"), "component"), "left")
+    size = rest.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    rest = cut(rest.join(size, "component"))
+    total, largest = rest.agg(F.count(F.lit(1)), F.max("size")).first()
+    tasks = total // r.bucket + 1
+    near = rest.filter(F.col("size") <= r.component).withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks)))
+    out = out.unionByName(near.groupBy("bucket").applyInPandas(lambda pdf: solve_bucket(pdf, r), "left long, right long, confidence double"))
+    if largest > r.component:
+        out = out.unionByName(solve_spread(rest.filter(F.col("size") > r.component).drop("size", "component"), r))
+    return out
+
+
+def link_entities(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_described: dict[str, Column], right_described: dict[str, Column], rules: Rules = Rules()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links: left, right, confidence; members: side, entity, row_id; entities).
+
+    Descriptions are columns year, place, family, kind, number, term, amount, batch, day1,
+    day2, name, code. Nulls are no evidence; a row without any known key links to nothing;
+    empty tables give no rows. Links are between entities: copies aren't paired.
     """
-    lm, lrows = mentions(left, left_id, left_described)
-    rm, rrows = mentions(right, right_id, right_described)
-    both = cut(lm.withColumn("side", F.lit(0)).unionByName(rm.withColumn("side", F.lit(1))))
-    n = max(1, both.count() // rules.bucket, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    both = both.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(n)))
-    links = both.groupBy("bucket").applyInPandas(lambda pdf: link_bucket(pdf, rules), "left_mention long, right_mention long, confidence double")
-    out = links.join(lrows.select(F.col("mention").alias("left_mention"), F.col("row_id").alias("left_id")), "left_mention")
-    out = out.join(rrows.select(F.col("mention").alias("right_mention"), F.col("row_id").alias("right_id")), "right_mention")
-    return out.select("left_id", "right_id", "confidence")
+    rows = cut(described(left, left_id, left_described, 0).unionByName(described(right, right_id, right_described, 1)))
+    e = cut(entities(rows))
+    links = confident(weighed(candidates(e), e, rules), rules).filter(F.col("confidence") >= rules.accept)
+    return links, rows.select("side", "entity", "row_id"), e
+
+
+def link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_described: dict[str, Column], right_described: dict[str, Column], rules: Rules = Rules()) -> DataFrame:
+    """(left_id, right_id, confidence): row pairs that mean the same thing, repeated rows included."""
+    links, member, _ = link_entities(left, right, left_id, right_id, left_described, right_described, rules)
+    of = lambda k, entity, row: member.filter(F.col("side") == k).select(F.col("entity").alias(entity), F.col("row_id").alias(row))
+    return links.join(of(0, "left", "left_id"), "left").join(of(1, "right", "right_id"), "right").select("left_id", "right_id", "confidence")
 
 
 # ---------------------------------------------------------------- bonds
 
 
 def _family(code: Column) -> Column:
-    return F.when(code == "new_general", "G").when(code == "new_special", "S").when(code == "refinancing", "R").otherwise("X")
+    return F.when(code == "new_general", "G").when(code == "new_special", "S").when(code == "refinancing", "R")
 
 
 def _first(c: Column, pattern: str, group: int = 1) -> Column:
@@ -237,26 +329,35 @@ def _first(c: Column, pattern: str, group: int = 1) -> Column:
 
 def day(c: Column) -> Column:
     """Days since 1970 of a date written in any usual notation."""
-    t = F.regexp_replace(fold(c.cast("string")), r"[年月/.\-]", "-")
-    y = F.coalesce(
-        F.try_to_date(F.regexp_extract(t, r"^(\d{4}-\d{1,2}-\d{1,2})", 1), "yyyy-M-d"), F.try_to_date(F.regexp_extract(t, r"^(\d{8})$", 1), "yyyyMMdd")
-    )
-    return F.unix_date(y)
+    t = F.translate(fold(c.cast("string")), "年月/.日", "----")
+    return F.unix_date(F.coalesce(F.try_to_date(F.substring_index(t, "-", 3), "yyyy-M-d"), F.try_to_date(t, "yyyyMMdd")))
+
+
+NUMERAL = "一二三四五六七八九十百零"
+
+
+def core(name: Column) -> Column:
+    """A name without what other attributes tell: numbers, brackets, batch, common words."""
+    return F.nullif(F.regexp_replace(name, rf"[\d\s()（）\-—·,，年度政府]+|第?[{NUMERAL}]*[期批]", ""), F.lit(""))
+
+
+def _where(title: Column, name: Column) -> tuple[Column, Column]:
+    pattern = r"(\d{4})年度?(.+?)(?:政府|再融资|一般|专项)"
+    usable = F.coalesce(F.when(title.rlike(pattern), title), name)
+    return _first(usable, pattern), _first(usable, pattern, 2)
 
 
 def described_announcement() -> dict[str, Column]:
     from bondlake.functions.numerals import numeral
 
     title, name = fold(F.col("title")), fold(F.col("bond_name"))
-    place = r"^(\d{4})年度?(.+?)(?:政府|再融资|一般|专项)"
-    year = F.coalesce(_first(title, place), _first(name, place))
-    where = F.coalesce(_first(title, place, 2), _first(name, place, 2))
+    year, where = _where(title, name)
     family = _family(F.col("category_code"))
     refi = F.coalesce(F.col("category_subtype"), _first(name, "(专项|一般)"))
     return {
-        "block": F.concat_ws("|", year, where, family), "kind": F.when(family != "R", family).when(refi == "专项", "RS").when(refi == "一般", "RG").otherwise("?"),
-        "number": F.coalesce(F.col("issue_no"), numeral(_first(name, r"[（(]第?([一二三四五六七八九十百\d]+)期[）)]"))), "term": _first(F.col("term"), r"(\d+)"), "amount": F.col("total_amount_yi"),
-        "batch": F.coalesce(F.col("batch_no"), numeral(_first(title, "第([一二三四五六七八九十百0-9]+)批"))), "day1": F.unix_date("bid_date"), "day2": F.unix_date("payment_date"),
+        "year": year, "place": where, "family": family, "kind": F.when(family != "R", family).when(refi == "专项", "RS").when(refi == "一般", "RG"),
+        "number": F.coalesce(F.col("issue_no"), numeral(_first(name, rf"[（(]第?([{NUMERAL}\d]+)期[）)]"))), "term": _first(F.col("term"), r"(\d+)"), "amount": F.col("total_amount_yi"),
+        "batch": F.coalesce(F.col("batch_no"), numeral(_first(title, rf"第([{NUMERAL}\d]+)批"))), "day1": F.unix_date("bid_date"), "day2": F.unix_date("payment_date"), "name": core(name),
     }
 
 
@@ -265,17 +366,16 @@ def described_result() -> dict[str, Column]:
 
     title, name = fold(F.col("title")), fold(F.col("bond_name"))
     short = fold(real_value(F.col("bond_short_name")))
-    place = r"^(\d{4})年度?(.+?)(?:政府|再融资|一般|专项)"
-    year = F.coalesce(_first(title, place), _first(name, place))
-    where = F.coalesce(_first(title, place, 2), _first(name, place, 2))
+    year, where = _where(title, name)
     family = _family(F.col("category_code"))
-    kind = F.when(short.rlike("再专"), "RS").when(short.rlike("再一"), "RG").when(name.rlike("再融资专|专.债"), "RS").when(name.rlike("一.债|般债"), "RG").otherwise("?")
-    # the last number before 期 counts; a batch isn't an issue
-    plain = F.regexp_replace(name, "第[一二三四五六七八九十百0-9]+批", "")
-    numbers = F.regexp_extract_all(plain, F.lit(r"([一二三四五六七八九十百\d]+)期"), F.lit(1))
+    # special or general, by the word that stands last in either name
+    both = F.concat_ws(" ", name, short)
+    kind = F.when(both.rlike("再专|再融资专|专.债"), "RS").when(both.rlike("再一|再融资一|一.债|般债"), "RG")
+    # the last number before 期 counts, else the one that ends the short name
+    numbers = F.regexp_extract_all(name, F.lit(rf"([{NUMERAL}\d]+)期"), F.lit(1))
     amount = F.coalesce(F.col("total_amount_yi"), F.col("new_amount_yi"), F.col("refi_amount_yi"), F.col("swap_amount_yi"))
     return {
-        "block": F.concat_ws("|", year, where, family), "kind": F.when(family != "R", family).otherwise(kind),
-        "number": F.coalesce(numeral(F.try_element_at(numbers, F.lit(-1))), numeral(_first(short, r"[项般债](\d{1,3})$"))), "term": _first(F.col("term"), r"(\d+)"), "amount": amount,
-        "batch": numeral(_first(F.coalesce(fold(F.col("batch_label")), name), "第([一二三四五六七八九十百0-9]+)批")), "day1": day(F.col("issue_date")), "day2": day(F.col("value_date")), "code": bond_key(F.col("bond_code")),
+        "year": year, "place": where, "family": family, "kind": F.when(family != "R", family).otherwise(kind),
+        "number": F.coalesce(numeral(F.try_element_at(numbers, F.lit(-1))), _first(short, r"\D(\d{1,3})$").cast("int")), "term": _first(F.col("term"), r"(\d+)"), "amount": amount,
+        "batch": numeral(_first(F.coalesce(fold(F.col("batch_label")), name), rf"第([{NUMERAL}\d]+)批")), "day1": day(F.col("issue_date")), "day2": day(F.col("value_date")), "name": core(F.coalesce(name, short)), "code": bond_key(F.col("bond_code")),
     }

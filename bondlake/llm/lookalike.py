@@ -129,6 +129,10 @@ UNCLEAN = (
 )
 
 
+#: What a value that folding leaves as it is doesn't have.
+UNFOLDED = r"[^!-~\x{3007}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{3001}-\x{3006}\x{3008}-\x{301f}\x{ff01}-\x{ff0f}\x{ff1a}-\x{ff20}\x{2010}-\x{2027}]"
+
+
 def is_clean(c: Column) -> Column:
     return ~c.rlike(UNCLEAN)
 
@@ -187,7 +191,9 @@ def fold(c: Column) -> Column:
     """
     f = folds() | HAN_LIKE
     t = F.translate(c, "".join(f), "".join(f.values()))
-    return F.regexp_replace(t, r"[\p{Cf}\p{Cc}\p{Z}\x{fe00}-\x{fe0f}\x{3164}\x{34f}]+", "")
+    t = F.regexp_replace(t, r"[\p{Cf}\p{Cc}\p{Z}\x{fe00}-\x{fe0f}\x{3164}\x{34f}]+", "")
+    # most values have nothing to fold, which one search tells
+    return F.when(c.rlike(UNFOLDED), t).otherwise(c)
 
 
 def repair_columns(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bondlake.llm.leaks import leaked
-from bondlake.llm.linkage import described_announcement, described_result, link
+from bondlake.llm.linkage import described, described_announcement, described_result, link, link_entities
 from bondlake.llm.lookalike import HAN_LIKE, fold, folds, repair_columns
 from bondlake.llm.nearest import nearest
 from bondlake.llm.packing import fill, pack
@@ -27,18 +27,28 @@ def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_text(table(spark, sf_dir, "pdf_extract"), "pdf_id").withColumnRenamed("row_id", "pdf_id")
 
 
-def _bond_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bonds(spark: SparkSession, sf_dir: str):
     anns, results = table(spark, sf_dir, "state_announcements"), table(spark, sf_dir, "state_results")
-    links = link(anns, results, "ann_id", "result_id", described_announcement(), described_result())
-    return links.withColumnsRenamed({"left_id": "ann_id", "right_id": "result_id"})
+    return anns, results, "ann_id", "result_id", described_announcement(), described_result()
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bond_links(spark, sf_dir).select("ann_id", "result_id")
+    return link(*_bonds(spark, sf_dir)).select(F.col("left_id").alias("ann_id"), F.col("right_id").alias("result_id"))
 
 
 def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bond_links(spark, sf_dir).withColumn("confidence", F.round("confidence", 3))
+    """Links between entities, each named by its smallest row id; the rows of an entity are those of p3_members."""
+    links, _, e = link_entities(*_bonds(spark, sf_dir))
+    side = lambda c, name, rows: e.select(F.col("entity").alias(c), F.col("first").alias(name), F.col("rows").alias(rows))
+    x = links.join(side("left", "ann_id", "ann_rows"), "left").join(side("right", "result_id", "result_rows"), "right")
+    return x.select("ann_id", "result_id", F.round("confidence", 3).alias("confidence"), "ann_rows", "result_rows")
+
+
+def p3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of either table with the smallest row id of its entity."""
+    anns, results, left_id, right_id, left, right = _bonds(spark, sf_dir)
+    rows = described(anns, left_id, left, 0).unionByName(described(results, right_id, right, 1)).select("entity", "row_id")
+    return rows.join(rows.groupBy("entity").agg(F.min("row_id").alias("first")), "entity").select(F.col("first").alias("entity_id"), "row_id")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +93,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p4_found, p5_found, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p3_members, p4_found, p5_found, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
