@@ -57,12 +57,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("right_id").alias("plan_id"), F.col("left_id").alias("ann_id"))
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _survivors(spark: SparkSession, sf_dir: str, weighting: str) -> DataFrame:
     rows = table(spark, sf_dir, "state_results")
     method = F.when(F.col("extraction_method") == "text", 0).when(F.col("extraction_method") == "ocr", 1).otherwise(2)
     newest = F.coalesce(-F.unix_date("pub_date"), F.lit(2**31 - 1))
-    out = survivors(rows, "result_id", bond_key(F.col("bond_code")), SURVIVOR_FIELDS, [method, newest])
-    return out.select("group_id", "field", F.col("row_id").alias("result_id"))
+    return survivors(rows, "result_id", bond_key(F.col("bond_code")), SURVIVOR_FIELDS, [method, newest], weighting, 3 - method)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survivors(spark, sf_dir, "lexicographic").select("group_id", "field", F.col("row_id").alias("result_id"))
+
+
+def p5_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors by vote: a row of the text layer has three votes, one of recognition two, any other one."""
+    return _survivors(spark, sf_dir, "votes").select("group_id", "field", "value", F.col("row_id").alias("result_id"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +101,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p3_members, p4_found, p5_found, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p3_members, p4_found, p5_found, p5_consensus, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:
