@@ -5,14 +5,17 @@ Two layers.
 * Form: compatibility ideographs, radicals, full-width letters and digits, decomposed
   accents, invisible characters and odd spaces have one ordinary form each; this needs
   no context. Full-width brackets and other punctuation stay.
-* Look-alikes: letters of another script inside a token (a maximal run of letters and
-  digits of the alphabets, or of Han and kana). The token's dominant script decides
-  what a look-alike would stand for; it is replaced only where the result, a whole
-  alphabetic token or the Han pairs around the sign, occurs in the corpus vocabulary.
+* Look-alikes, only in tokens of more than one script: a token is a maximal run of
+  alphabetic letters and digits, or of Han, kana and the like. Its dominant script is the
+  one with most letters that no other script has a double of; where no letter tells, the
+  word that is most usual in the corpus decides, then the number of letters. The doubles
+  of other scripts are put into the dominant script, whichever that is, if the result (the
+  whole word, or the Han neighbours of the sign) occurs in the corpus vocabulary. Words of
+  one script stay, also where all their letters have doubles.
 
 Values that consist of ordinary characters only are recognised in the JVM by one
-regular expression; Python sees the distinct rest. The vocabulary is never gathered:
-only the entries that some suspicious token needs are looked up, by a semi join.
+regular expression; Python sees the distinct rest. The vocabulary, one for all columns, is
+never gathered: only the entries that some suspicious token needs are looked up by a join.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bondlake.operators.cut import cut
+
 # Letters that look like a Latin letter (Unicode confusables).
 LATIN_LIKE = {
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "Ү": "Y", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W", "З": "3",
@@ -79,45 +84,102 @@ def form(text: str) -> str:
 
 
 _ALPHA = re.compile(r"[0-9A-Za-zª-ɏɐ-ʯͰ-ϿЀ-ԯԱ-ևḀ-῿Ⅰ-ↈ]+")
-_HANRUN = re.compile(rf"[{_HAN}{''.join(HAN_LIKE)}]+")
+_OTHER = "぀-ヿ㄀-ㄯ㄰-㆏㆐-㆟"  # kana, bopomofo, jamo
+_HANRUN = re.compile(rf"[{_HAN}{_OTHER}]+")
+_ODD = re.compile(rf"[{_OTHER}]")
+_HAN_DOUBLES = frozenset(HAN_LIKE.values())
+DIGIT_LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}  # Fixed values: Latin letters that look like a digit.
+
+
+@lru_cache(maxsize=4096)
+def script(ch: str) -> str:
+    """The script of a letter, by its name in the character database; empty for anything else."""
+    return unicodedata.name(ch, " ").split(" ")[0].split("-")[0] if ch.isalpha() else "DIGIT" if ch.isdigit() else ""
+
+
+@lru_cache
+def doubles() -> dict[str, dict[str, str]]:
+    """Script -> letter of any other script -> its double in that script."""
+    same: dict[str, list[str]] = {}
+    for ch, latin in LATIN_LIKE.items():
+        same.setdefault(latin, [latin]).append(ch)
+    for latin, digit in DIGIT_LIKE.items():
+        same.setdefault(latin, [latin]).append(digit)
+    out: dict[str, dict[str, str]] = {}
+    for letters in same.values():
+        for to in letters:
+            for ch in letters:
+                if script(ch) != script(to):
+                    out.setdefault(script(to), {}).setdefault(ch, to)
+    return out
 
 
-def repairs(t: str) -> list[tuple[int, str, str, list[str]]]:
-    """Possible substitutions in a formed value: (position, old, new, vocabulary entries one of which must exist)."""
+@lru_cache
+def _has_double() -> frozenset[str]:
+    return frozenset(ch for table in doubles().values() for ch in table)
+
+
+def word_repairs(token: str) -> list[tuple[str, bool]]:
+    """(the token put into one of its scripts, whether that script is sure to be the dominant one), the likeliest first; none for a token of one script."""
+    letters = [ch for ch in token if script(ch) and script(ch) != "DIGIT"]
+    scripts = {script(ch) for ch in letters}
+    digits = sum(ch.isdigit() for ch in token)
+    if digits > len(letters) > 0:
+        scripts.add("DIGIT")
+    if len(scripts) < 2:
+        return []
+    own = {s: sum(script(ch) == s and ch not in _has_double() for ch in letters) for s in scripts}
+    many = {s: digits if s == "DIGIT" else sum(script(ch) == s for ch in letters) for s in scripts}
+    out = []
+    if len(scripts - {"DIGIT"}) > 1:
+        scripts |= {"LATIN"}  # letters of two scripts can be doubles of a third
+        own.setdefault("LATIN", 0)
+        many.setdefault("LATIN", 0)
+    for s in sorted(scripts, key=lambda s: (-own[s], -many[s], s != "LATIN", s)):
+        table = doubles().get(s, {})
+        new = "".join(ch if script(ch) in (s, "", "DIGIT") else table.get(ch, ch) for ch in token)
+        if new != token and all(script(ch) in (s, "", "DIGIT") for ch in new):
+            out.append((new, own[s] > 0))
+    return out
+
+
+def repairs(t: str) -> list[tuple[int, str, str, str, bool]]:
+    """Possible substitutions in a formed value: (position, old, new, the vocabulary entry that must exist, sure)."""
     out = []
     for m in _ALPHA.finditer(t):
-        tok = m[0]
-        if not any(ch in LATIN_LIKE for ch in tok):
-            continue
-        foreign = [ch for ch in tok if ord(ch) > 0x24F and ch.isalpha()]
-        if any(ch not in LATIN_LIKE for ch in foreign):
-            continue  # a genuine word of the other script
-        new = "".join(LATIN_LIKE.get(ch, ch) for ch in tok)
-        out.append((m.start(), tok, new, ["a:" + new]))
-        if "O" in new or "o" in new or "l" in new or "I" in new:
-            digits = new.translate(str.maketrans("OolI", "0011"))
-            if digits.isdigit():
-                out.append((m.start(), tok, digits, ["a:" + digits]))
+        if not m[0].isascii():
+            out += [(m.start(), m[0], new, "a:" + new, sure) for new, sure in word_repairs(m[0])]
     for m in _HANRUN.finditer(t):
         run = m[0]
-        for i, ch in enumerate(run):
+        # letters without a double tell the script of the run here as well; then the number of letters
+        odd = [ch for ch in run if _ODD.match(ch)]
+        sure_han, sure_odd = sum(ch not in _HAN_DOUBLES for ch in run) - len(odd), sum(ch not in HAN_LIKE for ch in odd)
+        for i, ch in enumerate(run if (sure_han, len(run) - len(odd)) >= (sure_odd, len(odd)) else ""):
             if ch in HAN_LIKE:
                 new = HAN_LIKE[ch]
                 left = run[i - 1] if i else "^"
                 right = run[i + 1] if i + 1 < len(run) else "$"
-                out.append((m.start() + i, ch, new, [f"h:{HAN_LIKE.get(left, left)}{new}{HAN_LIKE.get(right, right)}"]))
+                out.append((m.start() + i, ch, new, f"h:{HAN_LIKE.get(left, left)}{new}{HAN_LIKE.get(right, right)}", True))
     return out
 
 
-def apply_repairs(t: str, known: set[str]) -> str:
-    """Make the substitutions whose result is known; of several for one token, the first."""
-    done, out, at = set(), [], 0
-    for pos, old, new, needs in sorted(repairs(t), key=lambda r: r[0]):
-        if pos in done or pos < at or not any(n in known for n in needs):
-            continue
-        out += [t[at:pos], new]
-        at = pos + len(old)
-        done.add(pos)
+def words(t: str) -> list[str]:
+    """Vocabulary entries of a formed value that isn't all ordinary characters: its words of one script."""
+    return ["a:" + m[0] for m in _ALPHA.finditer(t) if len({script(ch) for ch in m[0]} - {"", "DIGIT"}) == 1]
+
+
+def apply_repairs(t: str, known: dict[str, int]) -> str:
+    """Make the substitutions whose result is known: that of the sure script, else the most usual one."""
+    options: dict[int, list[tuple[int, int, str, str]]] = {}
+    for k, (pos, old, new, need, sure) in enumerate(repairs(t)):
+        if known.get(need, 0) > 0:
+            options.setdefault(pos, []).append((-1 if sure else 0, -known[need], k, old, new))
+    out, at = [], 0
+    for pos in sorted(options):
+        if pos >= at:
+            *_, old, new = min(options[pos])
+            out += [t[at:pos], new]
+            at = pos + len(old)
     return "".join(out) + t[at:]
 
 
@@ -137,45 +199,41 @@ def is_clean(c: Column) -> Column:
     return ~c.rlike(UNCLEAN)
 
 
-def _vocabulary(values: DataFrame) -> DataFrame:
-    """Distinct entries (key) of clean values: alphabetic tokens and Han neighbourhoods."""
-    v = F.col("value")
+def _entries(v: Column) -> Column:
+    """Vocabulary entries of a clean value: words, and every Han character that has a double with its neighbours in the run."""
     alpha = F.transform(F.regexp_extract_all(v, F.lit(r"([0-9A-Za-z\x{c0}-\x{24f}]+)"), F.lit(1)), lambda x: F.concat(F.lit("a:"), x))
-    # every Han character that has a look-alike, with its neighbours inside the run
     signs = "".join(sorted(set(HAN_LIKE.values())))
     han = r"\x{3007}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
     marked = F.regexp_replace(F.regexp_replace(v, rf"(?<![{han}])(?=[{han}])", "^"), rf"(?<=[{han}])(?![{han}])", "\\$")
     near = F.regexp_extract_all(marked, F.lit(rf"(?=([{han}^][{signs}][{han}$]))"), F.lit(1))
-    near = F.transform(near, lambda x: F.concat(F.lit("h:"), x))
-    return values.select(F.explode(F.concat(alpha, near)).alias("key")).distinct()
+    return F.concat(alpha, F.transform(near, lambda x: F.concat(F.lit("h:"), x)))
 
 
 def consistent(values: DataFrame) -> DataFrame:
     """(value, fixed): the consistent form of every distinct value that isn't in it already.
 
     ``values`` has one string column ``value``; repeats are fine. Null and empty values,
-    and values already consistent, give no row. A look-alike whose repaired token or
-    neighbourhood is unknown to the vocabulary (all clean values plus the formed ones)
-    stays as it is. Very long values are handled whole.
+    and values already consistent, give no row. A double whose repaired token or
+    neighbourhood is unknown to the vocabulary (the words of all clean values and the words
+    of one script of the others) stays as it is. Very long values are handled whole.
     """
-    distinct = values.filter(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    suspects = distinct.filter(~is_clean(F.col("value"))).select("value")
+    there = values.filter(F.col("value").isNotNull())
+    clean = is_clean(F.col("value"))
 
     def formed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             f = [form(x) for x in b["value"]]
-            needs = [sorted({k for r in repairs(x) for k in r[3]}) for x in f]
-            yield pd.DataFrame({"value": b["value"], "formed": f, "needs": needs})
+            yield pd.DataFrame({"value": b["value"], "formed": f, "needs": [sorted({r[3] for r in repairs(x)}) for x in f], "words": [words(x) for x in f]})
 
-    suspects = suspects.mapInPandas(formed, "value string, formed string, needs array<string>")
+    suspects = cut(there.filter(~clean).distinct().mapInPandas(formed, "value string, formed string, needs array<string>, words array<string>"))
     needed = suspects.select(F.explode("needs").alias("key")).distinct()
-    clean = distinct.filter(is_clean(F.col("value"))).select("value")
-    known = needed.join(_vocabulary(clean), "key", "left_semi")
-    asked = suspects.select("value", F.explode("needs").alias("key")).join(known, "key").groupBy("value").agg(F.collect_set("key").alias("known"))
+    have = there.filter(clean).select(F.explode(_entries(F.col("value"))).alias("key")).unionByName(suspects.select(F.explode("words").alias("key")))
+    known = have.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(needed, "key")
+    asked = suspects.select("value", F.explode("needs").alias("key")).join(known, "key").groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("known"))
 
     def repaired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            fixed = [apply_repairs(f, set() if k is None else set(k)) for f, k in zip(b["formed"], b["known"], strict=True)]
+            fixed = [apply_repairs(f, {} if k is None else dict(k)) for f, k in zip(b["formed"], b["known"], strict=True)]
             out = pd.DataFrame({"value": b["value"], "fixed": fixed})
             yield out[out["value"] != out["fixed"]]
 
@@ -196,8 +254,11 @@ def fold(c: Column) -> Column:
     return F.when(c.rlike(UNFOLDED), t).otherwise(c)
 
 
-def repair_columns(df: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """(row_id, field, value, fixed) of every value not in the consistent form; the columns share one vocabulary."""
-    long = df.select(F.col(id_col).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])).alias("s")).select("row_id", "s.*")
+def repair_columns(*tables: tuple[DataFrame, str, list[str]]) -> DataFrame:
+    """(row_id, field, value, fixed) of every value not in the consistent form, of tables given with id column and columns; all share one vocabulary."""
+    long = None
+    for df, id_col, columns in tables:
+        part = df.select(F.col(id_col).alias("row_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns])).alias("s")).select("row_id", "s.*")
+        long = part if long is None else long.unionByName(part)
     odd = long.filter(F.col("value").isNotNull() & ~is_clean(F.col("value")))
     return odd.join(consistent(long.select("value")), "value").select("row_id", "field", "value", "fixed")

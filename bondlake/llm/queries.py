@@ -73,10 +73,16 @@ def p5_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _survivors(spark, sf_dir, "votes").select("group_id", "field", "value", F.col("row_id").alias("result_id"))
 
 
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_columns((table(spark, sf_dir, "state_announcements"), "ann_id", ["bond_name", "province"]), (table(spark, sf_dir, "state_results"), "result_id", ["bond_short_name"]))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    anns = repair_columns(table(spark, sf_dir, "state_announcements"), "ann_id", ["bond_name", "province"])
-    results = repair_columns(table(spark, sf_dir, "state_results"), "result_id", ["bond_short_name"])
-    return anns.unionByName(results).select("row_id", "field")
+    return _repaired(spark, sf_dir).select("row_id", "field")
+
+
+def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repaired(spark, sf_dir)
 
 
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +107,7 @@ def p9_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(cut_scores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p3_members, p4_found, p5_found, p5_consensus, p6_found, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_links, p3_members, p4_found, p5_found, p5_consensus, p6_found, p6_repaired, p7_containers, p7_fill, p8_found, p9_found, p9_share)}
 
 
 def _sql_fold(column: str) -> str:

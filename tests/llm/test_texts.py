@@ -29,9 +29,9 @@ def test_form(raw, want):
 def test_repair_needs_the_vocabulary(spark):
     values = ["BOT水厂（一期）", "再融资一般债券", "ВОT水厂（ー期）", "再融资ー般债券", "Москва站", "Ζzyx站", "Δ测控站", None, "", "BOT水厂（一期）"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, name string").withColumn("value", F.lit("clash")).withColumn("fixed", F.lit(1))
-    got = {r.value: r.fixed for r in repair_columns(df, "id", ["name"]).collect()}
+    got = {r.value: r.fixed for r in repair_columns((df, "id", ["name"])).collect()}
     assert got == {"ВОT水厂（ー期）": "BOT水厂（一期）", "再融资ー般债券": "再融资一般债券"}
-    assert repair_columns(df.limit(0), "id", ["name"]).collect() == []
+    assert repair_columns((df.limit(0), "id", ["name"])).collect() == []
     long = spark.createDataFrame([("甲" * 50_000 + "​",)], "value string")
     assert consistent(long).first().fixed == "甲" * 50_000
 
