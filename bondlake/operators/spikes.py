@@ -1,18 +1,21 @@
 """Implausible readings: robust exponentially weighted control charts per source.
 
-Plan. Every source is cut into chunks of a fixed range of row ids, so no task ever
-holds more than ``chunk`` rows of one source however hot it is:
-
-1. a per-source median and scale of ``log(value)`` from mergeable sketches;
-2. values clipped to that band feed an EWMA of the mean and of the square. As the
-   clip no longer depends on the running state, both recursions are linear, hence
-   associative: each chunk is scanned by itself, one carry per chunk is folded in
-   id order, and the carry is added back with its decay;
-3. a reading outside ``limit`` chart deviations is a suspect and is not ordinary;
-4. run-length counters: runs of one unchanged value inside a chunk are joined over
-   chunk borders by a window over one row per chunk;
-5. physical limits, then the ordinary range of a source (its unsuspected readings,
-   without runs) gives the final bounds.
+Plan. Every series (a field of a source) is cut by row ids into chunks of about ``chunk``
+rows (three to five quarters of it, the last one fewer), so no task ever holds more of one
+series however hot it is: rows are counted by ranges of ids, and neighbouring ranges of a
+series are put together.
+
+1. Each chunk is scanned in id order: a reading is clipped to the chart's own running limits
+   before it updates the running mean and scale of ``log(value)``. A chunk begins at its own
+   median and spread; it gives one summary row: the state at its end, and the runs of
+   unchanged values at its two borders with their first ``least`` distinct keys.
+2. Over the summaries: the state at the end of a chunk is where the next one has to begin,
+   and border runs of neighbouring chunks are put together.
+3. Each chunk is scanned again from where it has to begin. A chart forgets its beginning, so
+   its end is the end found before; where it isn't (a chunk of few readings), the chunk's
+   end is corrected and the step repeated until all ends stand. Now every chunk knows its
+   suspects (readings outside ``limit`` running deviations), stuck runs and calm readings.
+4. The lowest and highest calm reading of a series give the final bounds of its suspects.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from bondlake.operators.cut import cut
 class Chart:
     """Parameters of the charts; they are the same at every size of the input."""
 
-    chunk: int = 100_000  #: row ids per chunk
+    chunk: int = 100_000  #: readings per chunk; a chart forgets its beginning in far fewer
     alpha: float = 0.02  #: weight of the newest reading
-    clip: float = 2.5  #: clipping band, in robust deviations of the source
-    limit: float = 2.5  #: chart limit, in chart deviations
+    clip: float = 2.5  #: a reading counts as no further from the mean, in running deviations
+    limit: float = 2.5  #: chart limit, in running deviations
+    floor: float = 0.02  #: least deviation of log(value)
+    settled: float = 1e-6  #: two ends of a chunk are the same within this
     ratio: float = 3.0  #: a case is more than this times the highest ordinary value
     run_rows: int = 10  #: least length of a run, in rows
     run_keys: int = 10  #: least length of a run, in distinct run keys
@@ -46,66 +51,103 @@ class Field:
     run_key: str | None = None  #: runs are counted in distinct values of this column, else in rows
 
 
-def _decayed(alpha: float):
+def scan(x: np.ndarray, mean: float, var: float, c: Chart) -> tuple[np.ndarray, float, float]:
+    """(whether each reading is inside the limits that it meets, mean and variance at the end)."""
+    calm = np.empty(len(x), bool)
+    keep, least = 1 - c.alpha, c.floor**2
+    for i, v in enumerate(x.tolist()):
+        dev = max(var, least) ** 0.5
+        d = v - mean
+        calm[i] = -c.limit * dev <= d <= c.limit * dev
+        d = max(-c.clip * dev, min(c.clip * dev, d))
+        mean += c.alpha * d
+        var = keep * var + c.alpha * d * d
+    return calm, mean, var
+
+
+def _usable(pdf: pd.DataFrame) -> np.ndarray:
+    return (~pdf["bad"].to_numpy(bool)) & (pdf["v"].to_numpy() > 0)
+
+
+def _begin(x: np.ndarray, c: Chart) -> tuple[float, float]:
+    """Median of a chunk's readings and the square of their spread around it."""
+    if not len(x):
+        return np.nan, np.nan
+    mid = float(np.median(x))
+    return mid, max(c.floor, 1.4826 * float(np.median(np.abs(x - mid)))) ** 2
+
+
+def _ends(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Beginnings and ends of the runs of unchanged values."""
+    cuts = np.flatnonzero(v[1:] != v[:-1]) + 1
+    return np.concatenate([[0], cuts]), np.concatenate([cuts, [len(v)]])
+
+
+def _some(keys: list, least: int) -> list[str]:
+    """The first ``least`` distinct keys."""
+    out: dict[str, None] = {}
+    for k in keys:
+        out[k] = None
+        if len(out) == least:
+            break
+    return list(out)
+
+
+SUMMARY = "series string, chunk long, mean double, var double, m0 double, v0 double, first_v double, first_keys array<string>, last_v double, last_keys array<string>, least int"
+
+
+def _summarise(c: Chart):
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id", kind="stable")
-        n = len(pdf)
-        keep = (1 - alpha) ** np.arange(1, n + 1)
-        x = pdf["clipped"].to_numpy(float)
-        both = []
-        for v in (x, x * x):
-            # adjust=False starts at v[0]; starting at 0 keeps the recursion linear
-            e = pd.Series(np.concatenate([[0.0], v])).ewm(alpha=alpha, adjust=False).mean().to_numpy()
-            both.append(e)
-        return pd.DataFrame({
-            "source": pdf["source"].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "row_id": pdf["row_id"].to_numpy(),
-            "logv": pdf["logv"].to_numpy(), "v": pdf["v"].to_numpy(), "keep": np.concatenate([[1.0], keep[:-1]]),
-            "m_before": both[0][:-1], "q_before": both[1][:-1],
-            "m_last": both[0][-1], "q_last": both[1][-1], "keep_last": keep[-1],
-        })
+        x = np.log(pdf["v"].to_numpy(float)[_usable(pdf)])
+        m0, v0 = _begin(x, c)
+        _, mean, var = scan(x, m0, v0, c)
+        v, keys, least = pdf["v"].to_numpy(float), pdf["run_key"].tolist(), int(pdf["least"].iloc[0])
+        a, b = _ends(v)
+        last = None if len(a) == 1 else _some(keys[a[-1] :], least)
+        return pd.DataFrame([(pdf["series"].iloc[0], pdf["chunk"].iloc[0], mean, var, m0, v0, v[0], _some(keys[: b[0]], least), v[-1], last, least)], columns=[f.split(" ")[0] for f in SUMMARY.split(", ")])
 
     return one
 
 
-def _carry(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Fold the chunks of one source; one row per chunk."""
-    pdf = pdf.sort_values("chunk", kind="stable")
-    m, q = float(pdf["center"].iloc[0]), float(pdf["center"].iloc[0]) ** 2 + float(pdf["scale"].iloc[0]) ** 2
-    ms, qs = [], []
-    for a, b, k in zip(pdf["m_last"], pdf["q_last"], pdf["keep_last"], strict=True):
-        ms.append(m)
-        qs.append(q)
-        m, q = a + k * m, b + k * q
-    return pd.DataFrame({"source": pdf["source"].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "m_in": ms, "q_in": qs})
+def _border_runs(summary: DataFrame) -> DataFrame:
+    """(series, chunk, first_stuck, last_stuck): whether the runs at the borders of a chunk are long enough, whatever chunks they span."""
+    side = lambda k, v, keys: F.struct(F.lit(k).alias("side"), F.col(v).alias("v"), F.col(keys).alias("keys"))
+    sides = summary.select("series", "chunk", "least", F.explode(F.array(side(0, "first_v", "first_keys"), side(1, "last_v", "last_keys"))).alias("s")).select("series", "chunk", "least", "s.*").filter("keys is not null")
+    w = W.partitionBy("series").orderBy("chunk", "side")
+    begins = F.when((F.col("side") == 0) & (F.lag("v").over(w) == F.col("v")), 0).otherwise(1)
+    sides = sides.withColumn("begins", begins).withColumn("run", F.sum("begins").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    size = sides.select("series", "run", "least", F.explode("keys").alias("key")).groupBy("series", "run").agg((F.count_distinct("key") >= F.max("least")).alias("stuck"))
+    at = lambda k: F.max(F.when(F.col("side") == k, F.col("stuck")))
+    return sides.join(size, ["series", "run"]).groupBy("series", "chunk").agg(F.coalesce(at(0), F.lit(False)).alias("first_stuck"), F.coalesce(at(1), at(0)).alias("last_stuck"))
 
 
-def runs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (source, chunk, row_id, v, run_key, least) -> the run of each row, and the distinct keys of each run.
+FOUND = "series string, chunk long, kind string, row_id long, v double, lo double, hi double"
 
-    A run is a maximal stretch of one unchanged value in the source's rows by row_id.
-    """
-    w = W.partitionBy("source", "chunk").orderBy("row_id")
-    x = rows.withColumn("_new", F.coalesce((F.col("v") != F.lag("v").over(w)).cast("int"), F.lit(1)))
-    x = x.withColumn("run", F.sum("_new").over(w))
-    chunks = x.groupBy("source", "chunk").agg(F.min_by("v", "row_id").alias("first_v"), F.max_by("v", "row_id").alias("last_v"), F.max("run").alias("last_run"))
-    wc = W.partitionBy("source").orderBy("chunk")
-    chunks = chunks.withColumn("joins", F.coalesce(F.lag("last_v").over(wc) == F.col("first_v"), F.lit(False)))
-    # the run open at the end of a chunk begins in this chunk, unless the chunk is one run that goes on from before
-    begins = F.when(~F.col("joins") | (F.col("last_run") > 1), F.struct(F.col("chunk").alias("c"), F.col("last_run").alias("r")))
-    chunks = chunks.withColumn("open", F.last(begins, ignorenulls=True).over(wc))
-    chunks = chunks.withColumn("before", F.when(F.col("joins"), F.lag("open").over(wc))).filter("before is not null").select("source", "chunk", "before")
-    x = x.join(chunks, ["source", "chunk"], "left")
-    goes_on = (F.col("run") == 1) & F.col("before").isNotNull()
-    x = x.select(
-        "source", "row_id", "run_key", "least",
-        F.when(goes_on, F.col("before.c")).otherwise(F.col("chunk")).alias("run_chunk"),
-        F.when(goes_on, F.col("before.r")).otherwise(F.col("run")).alias("run_no"),
-    )
-    at = ["source", "run_chunk", "run_no"]
-    # a run shorter than the least number of rows can't have as many keys
-    size = x.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least")).filter("n >= least")
-    keys = x.join(size, at, "left_semi").select(*at, "run_key").distinct().groupBy(*at).agg(F.count(F.lit(1)).alias("run_keys"))
-    return x, size.join(keys, at)
+
+def _judge(c: Chart):
+    """Rows of a chunk that matter: stuck ones, suspects, and one row with its calm range and its end."""
+
+    def one(pdf: pd.DataFrame, ctx: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row_id", kind="stable")
+        v, keys, least, t = pdf["v"].to_numpy(float), pdf["run_key"].tolist(), int(pdf["least"].iloc[0]), ctx.iloc[0]
+        a, b = _ends(v)
+        stuck = np.zeros(len(v), bool)
+        for i in np.flatnonzero(b - a >= least).tolist():
+            stuck[a[i] : b[i]] = len(_some(keys[a[i] : b[i]], least)) >= least
+        stuck[: b[0]], stuck[a[-1] :] = t["first_stuck"], t["last_stuck"]
+        use = _usable(pdf)
+        calm, mean, var = scan(np.log(v[use]), t["m_in"], t["v_in"], c)
+        plain = v[use][calm & ~stuck[use]]
+        suspect = np.zeros(len(v), bool)
+        suspect[np.flatnonzero(use)[~calm]] = True
+        bad, ids = pdf["bad"].to_numpy(bool), pdf["row_id"].to_numpy()
+        at = lambda x, kind: pd.DataFrame({"kind": kind, "row_id": ids[x], "v": v[x], "lo": np.nan, "hi": np.nan})
+        lo, hi = (plain.min(), plain.max()) if len(plain) else (np.nan, np.nan)
+        own = pd.DataFrame({"kind": ["calm", "end"], "row_id": [0, 0], "v": [0.0, 0.0], "lo": [lo, mean], "hi": [hi, var]})
+        return pd.concat([at(bad, "physical"), at(stuck & ~bad, "stuck"), at(suspect & ~stuck, "range"), at(suspect & stuck, "both"), own]).assign(series=pdf["series"].iloc[0], chunk=pdf["chunk"].iloc[0])[[f.split(" ")[0] for f in FOUND.split(", ")]]
+
+    return one
 
 
 def flag_spikes(df: DataFrame, id_col: str, source_col: str, fields: list[Field], chart: Chart = Chart()) -> DataFrame:
@@ -128,31 +170,29 @@ def flag_spikes(df: DataFrame, id_col: str, source_col: str, fields: list[Field]
     ]
     rows = df.select(row.alias("row_id"), F.col(source_col).cast("string").alias("s"), F.explode(F.array(*each)).alias("x")).filter("x.v is not null and not isnan(x.v)")
     # a series is one field of one source; \0 can't be confused with a named source
-    rows = rows.select(F.concat("x.field", F.lit("\1"), F.coalesce("s", F.lit("\0"))).alias("source"), "row_id", F.floor(F.col("row_id") / c.chunk).cast("long").alias("chunk"), "x.*")
-    rows = cut(rows)
-    x, size = runs(rows)
-    long_runs = size.filter("run_keys >= least")
-    stuck = x.join(long_runs, ["source", "run_chunk", "run_no"], "left_semi").select("source", "row_id").withColumn("stuck", F.lit(True))
-
-    usable = rows.filter(~F.col("bad") & (F.col("v") > 0)).withColumn("logv", F.log("v"))
-    mid = usable.groupBy("source").agg(F.percentile_approx("logv", F.array(*map(F.lit, (0.25, 0.5, 0.75))), 2000).alias("p"))
-    mid = mid.select("source", F.col("p")[1].alias("center"), F.greatest((F.col("p")[2] - F.col("p")[0]) / 1.349, F.lit(0.02)).alias("scale"))
-    clipped = usable.join(mid, "source").withColumn("clipped", F.greatest(F.least(F.col("logv"), F.col("center") + c.clip * F.col("scale")), F.col("center") - c.clip * F.col("scale")))
-    local = clipped.groupBy("source", "chunk").applyInPandas(
-        _decayed(c.alpha),
-        "source string, chunk long, row_id long, logv double, v double, keep double, m_before double, q_before double, m_last double, q_last double, keep_last double",
-    )
-    local = cut(local)
-    ends = local.groupBy("source", "chunk").agg(F.first("m_last").alias("m_last"), F.first("q_last").alias("q_last"), F.first("keep_last").alias("keep_last")).join(mid, "source")
-    carry = ends.groupBy("source").applyInPandas(_carry, "source string, chunk long, m_in double, q_in double")
-    seen = local.join(carry, ["source", "chunk"]).withColumn("mean", F.col("m_before") + F.col("keep") * F.col("m_in")).withColumn("square", F.col("q_before") + F.col("keep") * F.col("q_in"))
-    seen = seen.withColumn("dev", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(4e-4))))
-    calm = seen.filter(F.abs(F.col("logv") - F.col("mean")) <= c.limit * F.col("dev"))
-    calm = calm.join(stuck, ["source", "row_id"], "left_anti")
-    bounds = calm.groupBy("source").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    out = rows.select("source", "field", "row_id", "v", "bad").join(bounds, "source", "left").join(stuck, ["source", "row_id"], "left")
-    out = out.withColumn(
-        "reason",
-        F.when(F.col("bad"), "physical").when((F.col("v") > c.ratio * F.col("hi")) | (F.col("v") * c.ratio < F.col("lo")), "range").when(F.col("stuck"), "stuck"),
-    ).filter("reason is not null")
-    return out.select("row_id", "field", "reason")
+    rows = rows.select(F.concat("x.field", F.lit("\1"), F.coalesce("s", F.lit("\0"))).alias("series"), "row_id", F.floor(F.col("row_id") / max(1, c.chunk // 4)).cast("long").alias("range"), "x.v", "x.bad", "x.run_key", "x.least")
+    ranges = rows.groupBy("series", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("series").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select("series", "range", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / c.chunk).cast("long").alias("chunk"))
+    rows = cut(rows.join(ranges, ["series", "range"]).drop("range").repartition("series", "chunk"))
+    summary = cut(rows.groupBy("series", "chunk").applyInPandas(_summarise(c), SUMMARY))
+    runs = _border_runs(summary)
+    ends = summary.select("series", "chunk", "mean", "var", "m0", "v0")
+    before = W.partitionBy("series").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    known = lambda x: F.when(~F.isnan(x), F.col(x))
+    while True:
+        begin = ends.withColumn("m_in", F.coalesce(F.last(known("mean"), ignorenulls=True).over(before), F.col("m0"))).withColumn("v_in", F.coalesce(F.last(known("var"), ignorenulls=True).over(before), F.col("v0")))
+        context = begin.select("series", "chunk", "m_in", "v_in").join(runs, ["series", "chunk"])
+        found = cut(rows.groupBy("series", "chunk").cogroup(context.groupBy("series", "chunk")).applyInPandas(_judge(c), FOUND))
+        now = found.filter("kind = 'end'").select("series", "chunk", F.col("lo").alias("mean_now"), F.col("hi").alias("var_now"))
+        both = ends.join(now, ["series", "chunk"])
+        off = (F.abs(F.col("mean") - F.col("mean_now")) > c.settled) | (F.abs(F.col("var") - F.col("var_now")) > c.settled)
+        if both.filter(off & ~F.isnan("mean")).isEmpty():
+            break
+        ends = cut(both.select("series", "chunk", F.col("mean_now").alias("mean"), F.col("var_now").alias("var"), "m0", "v0"))
+    bounds = found.filter("kind = 'calm' and not isnan(lo)").groupBy("series").agg(F.min("lo").alias("low"), F.max("hi").alias("high"))
+    cases = found.filter("kind not in ('calm', 'end')").join(bounds, "series", "left")
+    outside = F.coalesce((F.col("v") > c.ratio * F.col("high")) | (F.col("v") * c.ratio < F.col("low")), F.lit(False)) & F.col("kind").isin("range", "both")
+    reason = F.when(F.col("kind") == "physical", "physical").when(outside, "range").when(F.col("kind").isin("stuck", "both"), "stuck")
+    out = cases.select("row_id", F.substring_index("series", "\1", 1).alias("field"), reason.alias("reason"))
+    return out.filter("reason is not null")
