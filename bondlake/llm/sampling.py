@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 
-def smallest_hashes(df: DataFrame, column: str, rows: int, seed: int, total: int | None = None) -> DataFrame:
-    """The ``rows`` rows whose ``column`` has the smallest hash: the same rows whatever the partitioning.
+def smallest_hashes(df: DataFrame, column: str, rows: int, seed: int, total: int | None = None) -> list[Row]:
+    """One row for each of the ``rows`` distinct values of ``column`` with the smallest hashes: the same values whatever the partitioning.
 
-    Hashes are even, so a threshold leaves hardly more rows than wanted before the sort;
-    what reaches the driver is bounded by ``rows`` and not by the number of tasks.
+    Hashes are even, so a threshold leaves hardly more rows than wanted before the sort; it
+    is raised where copies left too few values. What reaches the driver is bounded by ``rows``.
     """
     total = df.count() if total is None else total
-    r = F.xxhash64(column, F.lit(seed))
-    if total > 2 * rows:
-        df = df.filter(r < F.lit(int((1.2 * rows / total) * 2**64 - 2**63)).cast("long"))
-    return df.withColumn("_r", r).orderBy("_r").limit(rows).drop("_r")
+    x = df.withColumn("_r", F.xxhash64(column, F.lit(seed)))
+    share = 1.2 * rows / max(1, total)
+    while True:
+        part = x.filter(F.col("_r") < F.lit(int(share * 2**64 - 2**63)).cast("long")) if share < 0.6 else x
+        picked = part.dropDuplicates(["_r"]).orderBy("_r").limit(rows).drop("_r").collect()
+        if len(picked) == rows or share >= 0.6:
+            return picked
+        share *= 4

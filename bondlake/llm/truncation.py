@@ -1,15 +1,17 @@
 """Text cut off by field limits: hashed logistic regression on how values close.
 
-Positives are made: intact values are cut at random places, partly with what a cut may
-leave behind (an ellipsis, half a character). Negatives are the values as they are, of
-which those that sit at a length limit of their source are left out; after a first fit
-those that the model itself takes for cut leave the training set and it is fitted again.
-Features are the closing characters, the shape of the last line, open brackets, and how
-far the length is a limit of the source (the share of its values with just this length
-in characters, in UTF-8 bytes or in double-byte units), counted over all values.
-
-The fit sees at most ``sample`` values (a documented bound); scoring sees every value.
-Only the closing characters and the lengths travel to Python.
+Positives are made: intact values are cut, twice anywhere and once at each length limit of
+their source that they exceed, partly with what a cut may leave behind (an ellipsis, half a
+character). Negatives are the values as they are, of which those that sit at a limit of
+their source are left out; after a first fit those that the model itself takes for cut leave
+the training set and it is fitted again. Features are the closing characters, the shape of
+the last line, its open brackets, and how far the length is a limit of the source (the share
+of its values with just this length in characters, in UTF-8 bytes or in double-byte units),
+counted over all values; positives and negatives have the shares of their own lengths.
+
+What a value closes with is computed in the JVM from the whole text, once, and kept; only
+that travels to Python. The fit sees at most ``sample`` values (a documented bound); scoring
+sees every value.
 """
 
 from __future__ import annotations
@@ -22,13 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bondlake.llm.sampling import smallest_hashes
 from bondlake.operators.cut import cut
 
-FIT_TAIL = 600  #: closing characters of a sampled value, within which it is cut
-TAIL = 160  #: closing characters that features are made of
+TAIL = 160  #: closing characters of which words, shapes and signs are features; what is counted is counted in the whole text
 DIM = 1 << 18
 WIDTH = 40  #: feature slots of a value
 LEFTOVERS = ("", "", "", "", "…", "……", "...", "�", "..", "。。。", "―", "—", "[...]", "（…）")
@@ -54,40 +55,58 @@ def _shape(s: str) -> str:
     return re.sub(r"[㐀-鿿]+", "汉", s)
 
 
-def names(tail: str, at_limit: float) -> list[str]:
-    """Feature names of one value: its closing characters and how far its length is a limit."""
+OPEN, CLOSE = "（(〔[《", "）)〕]》"
+
+
+def closing(t: Column) -> Column:
+    """What a text closes with: its last characters, and of its last line the opening, the length and the open brackets; whether it has other lines and how the one before ends."""
+    body = F.rtrim(F.regexp_replace(t, r"\s+\z", ""))
+    line = F.trim(F.substring_index(body, "\n", -1))
+    count = lambda signs: F.length(line) - F.length(F.translate(line, signs, ""))
+    more = F.contains(body, F.lit("\n"))
+    before = F.when(more, F.right(F.regexp_replace(F.left(body, F.length(body) - F.length(F.substring_index(body, "\n", -1))), r"\s+\z", ""), F.lit(1)))
+    return F.struct(F.right(line, F.lit(TAIL)).alias("tail"), F.left(line, F.lit(16)).alias("head"), F.length(line).alias("size"), (count(OPEN) - count(CLOSE)).alias("open"), more.alias("more"), F.coalesce(before, F.lit("")).alias("before"))
+
+
+def names(tail: str, at_limit: float, head: str = "", size: int = 0, open_: int = 0, whole: bool = False, before: str = "") -> list[str]:
+    """Feature names of one value: what it closes with and how far its length is a limit."""
     t = tail.rstrip()
     mark = _LEFT.search(t)
-    out = ["bias", f"L{min(3, int(at_limit * 20))}"]
+    share = min(3, int(at_limit * 20))
+    out = ["bias", f"L{share}"]
     if mark and mark.group().strip():
         out.append("left")
+        size -= len(t) - mark.start()
         t = t[: mark.start()]
-    line = t.rsplit("\n", 1)[-1].strip()
-    whole = "\n" in t
+    line = t.strip()
+    head = head if size > len(line) else line[:16]
     norm = line.translate(_CLASS)
     plain = re.sub("0[0.,]*", "0", norm)
     last = plain[-1:] or "^"
     shape = _shape(line)
     kind = "han" if re.search("[㐀-鿿]", line) else "lat"
-    size = min(9, len(line) // 5)
+    long = min(9, max(size, len(line)) // 5)
     ends = "stop" if last in "。！？!?；" else "dot" if last == "." else "other"
+    start = re.sub("0[0.,]*", "0", head.translate(_CLASS))
     out += [f"1{last}", f"2{plain[-2:]}", f"3{plain[-3:]}", f"4{plain[-4:]}", f"5{plain[-6:]}"]
-    out += [f"e{ends}", f"ek{ends}{kind}{whole}", f"es{ends}{size}{whole}", f"ls{last}{size}{whole}", f"h{shape[-8:]}", f"hw{shape if len(shape) < 14 else 'long'}{whole}"]
-    out += [f"b{plain[:2]}{ends}{size}", f"b4{plain[:4]}{ends}", f"w{plain.split(' ')[0][:12]}{ends}", f"v{plain.split(' ')[-1][-14:]}", f"l{plain if len(plain) < 24 else ''}"]
-    out += [f"o{sum(line.count(c) for c in '（(〔[《') - sum(line.count(c) for c in '）)〕]》')}", f"ends{ends}{min(3, int(at_limit * 20))}"]
+    out += [f"e{ends}", f"ek{ends}{kind}{whole}", f"es{ends}{long}{whole}", f"ls{last}{long}{whole}", f"h{shape[-8:]}", f"hw{shape if len(shape) < 14 and size <= TAIL else 'long'}{whole}"]
+    out += [f"b{start[:2]}{ends}{long}", f"b4{start[:4]}{ends}", f"w{start.split(' ')[0][:12]}{ends}", f"v{plain.split(' ')[-1][-14:]}", f"l{plain if len(plain) < 24 else ''}"]
+    out += [f"o{open_}", f"ends{ends}{share}"]
     out += [f"d{bool(re.search('[0-9]$', line))}{bool(re.search('[0-9][.]$', line))}{bool(re.search(' ', line))}{kind}", f"c{'，' in line}{'。' in line}{ends}{kind}"]
     words = line.split(" ")
     out += [f"n{min(4, len(words))}{words[-1][-1:].isdigit()}{whole}{kind}", f"m{bool(mark)}{ends}"]
-    before = t[: -len(line)].rstrip() if line else t
-    out.append(f"p{before[-1:].translate(_CLASS) if whole else '-'}{ends}{size}")
+    out.append(f"p{before.translate(_CLASS) if whole else '-'}{ends}{long}")
     return out
 
 
-def encode(tails: list[str], at_limit: list[float]) -> np.ndarray:
-    x = np.full((len(tails), WIDTH), DIM, dtype=np.int64)
-    for i, (t, a) in enumerate(zip(tails, at_limit, strict=True)):
-        f = names(t, a)[:WIDTH]
-        x[i, : len(f)] = [zlib.crc32(n.encode()) & (DIM - 1) for n in f]
+Closing = tuple  #: (tail, share of the length, head, size, open, more, before)
+
+
+def encode(rows: list[Closing]) -> np.ndarray:
+    x = np.full((len(rows), WIDTH), DIM, dtype=np.int64)
+    for i, row in enumerate(rows):
+        f = names(*row)[:WIDTH]
+        x[i, : len(f)] = [zlib.crc32(n.encode("utf-8", "replace")) & (DIM - 1) for n in f]
     return x
 
 
@@ -114,21 +133,16 @@ def fit(x: np.ndarray, y: np.ndarray, epochs: int, seed: int) -> np.ndarray:
     return w
 
 
-def train(values: list[tuple[str, float]], conf: Fit) -> np.ndarray:
-    """Weights from (text, share of its length) of intact-looking values."""
+def train(intact: list[Closing], made: list[Closing], conf: Fit) -> np.ndarray:
+    """Weights from values as they are and artificially cut ones."""
     rng = random.Random(conf.seed)
-    neg = [(t[-TAIL:], a) for t, a in values]
     pos = []
-    for t, a in values:
-        if len(t) < 30:
-            continue
-        for _ in range(2):
-            p = rng.randrange(12, len(t))
-            head = t[:p]
-            if head.rstrip()[-1:] in "。！？!?" or t[p - 1 : p + 1] in (".\n", ". ") or t[p : p + 1] == "\n" or head[-1:] == "\n":
-                continue  # such a cut leaves whole sentences
-            pos.append((head[-TAIL:] + rng.choice(LEFTOVERS), rng.choice((a, a, 0.3, 1.0))))
-    x = encode([t for t, _ in neg + pos], [a for _, a in neg + pos])
+    for tail, *rest in made:
+        left = rng.choice(LEFTOVERS)
+        rest[2] += len(left)
+        pos.append((tail + left, *rest))
+    neg = intact
+    x = encode(neg + pos)
     y = np.array([0.0] * len(neg) + [1.0] * len(pos))
     # values that are cut already count as negatives so far: what a model fitted on the
     # other folds takes for cut leaves the training set
@@ -153,40 +167,73 @@ def cut_scores(df: DataFrame, id_col: str, text_col: str = "text", source_col: s
     """
     spark = df.sparkSession
     t = F.col(text_col)
-    base = df.filter(t.isNotNull() & (F.length(F.trim(t)) > 0)).select(
-        F.col(id_col).alias("row_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.right(t, F.lit(FIT_TAIL)).alias("tail"),
-        F.length(t).alias("chars"), F.octet_length(t).alias("bytes"), F.xxhash64(t).alias("h"),
-    )
-    # bytes = ascii + 3 * wide nearly always, so this is the length in double-byte units
-    base = base.withColumn("dbcs", (F.col("chars") + (F.col("bytes") - F.col("chars")) / 2).cast("int"))
-    kinds = ["chars", "bytes", "dbcs"]
-    lens = base.select("source", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.floor(F.col(k) / (1 if k == "chars" else 4)).alias("len")) for k in kinds])).alias("x")).groupBy("source", "x.kind", "x.len").agg(F.count(F.lit(1)).alias("n"))
+    there = df.filter(t.isNotNull() & (F.length(F.trim(t)) > 0))
+    source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
+    # the texts are read once for all that follows but the sample
+    base = cut(there.select(F.col(id_col).alias("row_id"), source.alias("source"), *_lengths(t), closing(t).alias("c")))
+    lens = base.select("source", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.floor(F.col(k) / unit).alias("len")) for k, unit in KINDS.items()])).alias("x")).groupBy("source", "x.kind", "x.len").agg(F.count(F.lit(1)).alias("n"))
     total = base.groupBy("source").agg(F.count(F.lit(1)).alias("of"))
     peaks = lens.join(total, "source").filter((F.col("n") >= conf.peak_rows) & (F.col("n") >= conf.peak * F.col("of")))
     # at most 1 / peak lengths of each kind can be limits of a source
-    limits = peaks.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(":"), F.col("len").cast("string")), F.col("n") / F.col("of")))).alias("limits"))
+    limits = peaks.groupBy("source").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit(":"), F.col("len").cast("string")), F.col("n") / F.col("of")))).alias("limits"),
+        F.collect_list(F.when(F.col("kind") != "dbcs", F.struct("kind", "len"))).alias("places"),
+    )
     n_all = total.agg(F.sum("of")).first()[0] or 0
-    keys = [F.concat(F.lit(f"{k}:"), F.floor(F.col(k) / (1 if k == "chars" else 4)).cast("string")) for k in kinds]
     limits = cut(limits)
     # a row per source: sent to every task where that is few, joined with its skew split elsewhere
     limits = F.broadcast(limits) if limits.count() <= conf.broadcast_sources else limits
-    joined = base.join(limits, "source", "left")
-    share = F.greatest(*[F.coalesce(F.try_element_at("limits", k), F.lit(0.0)) for k in keys])
-    scored = joined.select("row_id", "source", F.right("tail", F.lit(TAIL)).alias("tail"), share.alias("at_limit"))
-    # intact-looking values: a bounded sample of those whose length is no limit of their source
-    usable = joined.filter(share < conf.peak).select("tail", "h")
-    picked = smallest_hashes(usable, "h", conf.sample, conf.seed, n_all).select("tail").collect()
-    if not picked:
+    share = lambda c="": F.greatest(*[F.coalesce(F.try_element_at("limits", F.concat(F.lit(f"{k}:"), F.floor(F.col(c + k) / unit).cast("string"))), F.lit(0.0)) for k, unit in KINDS.items()])
+    scored = base.join(limits, "source", "left").withColumn("at_limit", share())
+    models = _fitted(there.select(source.alias("source"), t.alias("t")), limits, share, n_all, conf)
+    if models is None:
         return scored.select("row_id", "source", F.lit(0.0).alias("score"), F.lit(False).alias("cut"))
-    w = spark.sparkContext.broadcast(train([(r.tail, 0.0) for r in picked], conf).astype(np.float32))
+    w = spark.sparkContext.broadcast(models.astype(np.float32))
+    parts = ["tail", "at_limit", "head", "size", "open", "more", "before"]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            p = predict(w.value, encode(b["tail"].tolist(), b["at_limit"].tolist()))
+            p = predict(w.value, encode(list(b[parts].itertuples(index=False, name=None))))
             yield pd.DataFrame({"row_id": b["row_id"], "source": b["source"], "score": p.astype(float), "cut": p > conf.threshold})
 
     kind = dict(df.dtypes)[id_col]
-    return scored.mapInPandas(score, f"row_id {kind}, source string, score double, cut boolean")
+    return scored.select("row_id", "source", "at_limit", "c.*").mapInPandas(score, f"row_id {kind}, source string, score double, cut boolean")
+
+
+KINDS = {"chars": 1, "bytes": 4, "dbcs": 4}  #: kinds of length, and how many of them are told apart as one
+
+
+def _lengths(t: Column) -> list[Column]:
+    """Characters, UTF-8 bytes and double-byte units (bytes = ascii + 3 * wide nearly always)."""
+    chars, size = F.length(t), F.octet_length(t)
+    return [chars.alias("chars"), size.alias("bytes"), (chars + (size - chars) / 2).cast("int").alias("dbcs")]
+
+
+def _fitted(texts: DataFrame, limits: DataFrame, share, n_all: int, conf: Fit) -> np.ndarray | None:
+    """Weights from a bounded sample of values whose length is no limit of their source, and of their cuts."""
+    x = texts.select("source", "t", F.xxhash64("t").alias("h"), *_lengths(F.col("t"))).join(limits, "source", "left")
+    x = x.withColumn("own", share()).filter(F.col("own") < conf.peak)
+    t, n = F.col("t"), F.col("chars")
+    anywhere = [F.left(t, (F.lit(12) + F.pmod(F.xxhash64("h", F.lit(conf.seed + k)), F.greatest(n - 12, F.lit(1)))).cast("int")) for k in (1, 2)]
+    at_limit = F.transform(
+        F.filter(F.coalesce("places", F.array()), lambda p: F.when(p["kind"] == "chars", p["len"] < F.col("chars")).otherwise(p["len"] * 4 < F.col("bytes"))),
+        lambda p: F.when(p["kind"] == "chars", F.left(t, p["len"].cast("int"))).otherwise(F.regexp_replace(F.make_valid_utf8(F.substring(F.encode(t, "UTF-8"), F.lit(1), (p["len"] * 4).cast("int")).cast("string")), "\ufffd+\\z", "")),
+    )
+    heads = F.when(n >= 30, F.concat(F.array(*anywhere), at_limit)).otherwise(F.array().cast("array<string>"))
+
+    def made(head: Column) -> Column:
+        c, m, b = F.length(head), F.octet_length(head), F.substring(t, F.length(head) + 1, F.lit(1))
+        own = F.greatest(*[F.coalesce(F.try_element_at("limits", F.concat(F.lit(f"{k}:"), F.floor(v / u).cast("string"))), F.lit(0.0)) for (k, u), v in zip(KINDS.items(), (c, m, c + (m - c) / 2), strict=True)])
+        return F.struct(own.alias("share"), b.alias("next"), F.right(head, F.lit(1)).alias("last"), closing(head).alias("c"))
+
+    x = x.select("h", "own", closing(t).alias("c"), F.transform(heads, made).alias("made"))
+    picked = smallest_hashes(x, "h", conf.sample, conf.seed, n_all)
+    if not picked:
+        return None
+    row = lambda c, share_: (c.tail, share_, c.head, c.size, c.open, c.more, c.before)
+    # a cut behind a whole sentence or line leaves nothing to see
+    whole = lambda m: (m.c.tail[-1:] or "\n") in "。！？!?" or m.last == "\n" or m.next in ("\n", "") or m.last == "." and m.next in " \n"
+    return train([row(r.c, r.own) for r in picked], [row(m.c, m.share) for r in picked for m in r.made if not whole(m)], conf)
 
 
 def cut_share(scores: DataFrame) -> DataFrame:
