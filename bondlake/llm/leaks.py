@@ -9,17 +9,21 @@ its end; where the shift is 0, the hash of the suffix selects a bucket of test s
 and direct comparison confirms one. Many windows move in step (numpy), one per stretch
 of the text, each stretch overlapping the next by ``m - 1``.
 
-Pass 1 counts, over all documents, how often each sentence of an item occurs, and how
+Pass 1 counts, over all distinct texts, how often each sentence of an item occurs, and how
 often it does so without the text around it: that tells standing sentences, which are no
-item text. Likewise it counts test strings found alone, which are common phrases and make
-no search string. Counts are a few numbers per sentence and test string, added up in
-Spark; a passage that leaked into ever so many documents doesn't count as common, as its
-test strings are found beside each other. Pass 2 searches for the
-test strings of the other sentences and grows each occurrence along the item by direct
-comparison, over replaced words, to the passage it belongs to.
-
-Items are a stated query set: they are taken in blocks of ``block_chars`` characters, one
-search per block, so what is sent to the tasks is bounded whatever the number of items.
+item text. Likewise it counts test strings found alone. Counts are added up in Spark, and
+only the sentences that stand are sent on; a passage that leaked into ever so many documents
+doesn't count as standing, as it is found beside its neighbours, and a sentence that has no
+neighbours, or is itself a third of the item, is never taken for one. Pass 2 searches for the
+test strings of the other sentences and grows occurrences along the item by direct
+comparison, over replaced words, to the passage they belong to. An occurrence is grown if
+its test string is rare by itself, or if several of the item lie along one diagonal.
+
+Items of fewer than three test strings are searched for by shorter strings at every place.
+
+Items are a stated query set: they are read one block of ``block_chars`` characters after
+the other, one search per block, so what is held and sent is bounded whatever their number.
+The search tables of a block are built once and sent to the tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from bondlake.operators.cut import cut
+
 
 @dataclass(frozen=True)
 class Search:
@@ -41,14 +47,15 @@ class Search:
     stride: int = 8
     share: float = 1 / 3  #: least part of the item's own text in one passage
     standing_docs: int = 3  #: a standing sentence stands without its neighbours in at least so many documents,
-    standing_share: float = 0.001  #: and in this share of all documents,
+    standing_share: float = 0.001  #: and in this share of all distinct texts,
     standing_alone: float = 0.5  #: and in this share of the documents that have it
-    phrase_share: float = 0.0005  #: test strings found alone in more than this share of all documents (and more than 3) are common phrases
+    phrase_share: float = 0.0005  #: test strings found alone in more than this share of all texts (and more than 3) are searched for in company only
     block_chars: int = 8_000_000
     lane: int = 256  #: characters a window covers
     batch_chars: int = 3_000_000  #: characters searched at a time
     band: int = 48  #: occurrences of one passage lie within so many characters of one diagonal
-    intact: float = 0.4  #: least part of a passage's test strings that replaced words leave whole
+    intact: float = 0.4  #: part of the least passage's test strings that are company enough
+    short: int = 36  #: items of fewer compared characters are searched for by shorter strings
 
 
 @lru_cache
@@ -179,7 +186,14 @@ def read_item(item_id: int, text: str) -> Item:
     return Item(item_id, body, "".join(map(chr, body)), number, int(number.max()) + 1 if len(number) else 0, np.ones(len(body), bool))
 
 
-def test_strings(items: list[Item], m: int, stride: int, common: frozenset[tuple[int, int]] = frozenset()) -> tuple[list[str], np.ndarray, np.ndarray]:
+def length_of(it: Item, conf: Search) -> int:
+    """Characters of an item's test strings, a multiple of three: for a short item no more than a third of it, or all of it below nine characters."""
+    n = len(it.text)
+    least = -(-n // 3) if n >= 9 else n
+    return conf.m if n >= conf.short else max(BLOCK, min(conf.m, least // BLOCK * BLOCK))
+
+
+def test_strings(items: list[Item], m: int, stride: int) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Test strings with (index of the item, place in it) of each; only places where all is item text."""
     strings, which, where = [], [], []
     for k, it in enumerate(items):
@@ -189,7 +203,7 @@ def test_strings(items: list[Item], m: int, stride: int, common: frozenset[tuple
         if n >= m and places[-1] != n - m:
             places.append(n - m)
         for p in places:
-            if it.own[p : p + m].all() and (k, p) not in common:
+            if it.own[p : p + m].all():
                 strings.append(it.chars[p : p + m])
                 which.append(k)
                 where.append(p)
@@ -289,7 +303,7 @@ def _texts(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.n
         yield flush(ids, texts)
 
 
-def _blocks(items: list[Item], limit: int) -> Iterator[list[Item]]:
+def _blocks(items: Iterator[Item], limit: int) -> Iterator[list[Item]]:
     block, size = [], 0
     for it in items:
         if block and size + len(it.text) > limit:
@@ -301,121 +315,163 @@ def _blocks(items: list[Item], limit: int) -> Iterator[list[Item]]:
         yield block
 
 
-def _counts(docs: DataFrame, items: list[Item], conf: Search) -> tuple[dict[tuple[int, int], tuple[int, int]], dict[tuple[int, int], int]]:
-    """(item, sentence) -> documents that have it, and that have it without its neighbours; (item, place) -> documents with this test string alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-    size = max((it.sentences for it in items), default=1) + 1
-    base = len(items) * size
+@dataclass
+class Plan:
+    """Items whose test strings have one length, with the search for them."""
+
+    items: list[Item]
+    m: int
+    finder: WuManber
+    which: np.ndarray
+    where: np.ndarray
+
+
+def _plans(items: list[Item], conf: Search) -> list[Plan]:
+    by: dict[tuple[int, int], list[Item]] = {}
+    for it in items:
+        if len(it.text) >= BLOCK:
+            by.setdefault((length_of(it, conf), conf.stride if len(it.text) >= conf.short else 1), []).append(it)
+    out = []
+    for (m, stride), its in sorted(by.items(), key=lambda x: x[0]):
+        strings, which, where = test_strings(its, m, stride)
+        if strings:
+            out.append(Plan(its, m, WuManber(strings, m, conf.lane), which, where))
+    return out
+
+
+def _counts(docs: DataFrame, plans: list[Plan], conf: Search) -> tuple[list[tuple[int, int, int]], dict[int, set[int]]]:
+    """(plan, item, sentence) of standing sentences, and by plan the test strings that are found alone too often; over distinct texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(plans)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        its = shared.value
-        strings, which, where = test_strings(its, conf.m, conf.stride)
-        # several items can hold one sentence: each keeps its own count
-        finder = WuManber(strings, conf.m, conf.lane)
-        sent = np.array([its[k].sentence[p] for k, p in zip(which, where, strict=True)], np.int64)
-        last = np.array([its[k].sentence[p + conf.m - 1] for k, p in zip(which, where, strict=True)], np.int64)
-        inside, code = sent == last, which * size + sent
-        need = np.bincount(code[inside], minlength=base) if len(code) else np.zeros(base, np.int64)
-        total, alone, single = np.zeros(base, np.int64), np.zeros(base, np.int64), np.zeros(len(strings), np.int64)
-        for _, text, starts in _texts(batches, conf.batch_chars):
-            place, number = finder.find(text)
-            if not len(place):
-                continue
-            doc = np.searchsorted(starts, place, "right") - 1
-            tile, _ = _sorted_unique(doc * len(strings) + number)  # each test string once a document, in the order of the items
-            doc, number = tile // len(strings), tile % len(strings)
-            new = np.concatenate([[True], (np.diff(tile) > 2) | (np.diff(doc) > 0) | (np.diff(which[number]) > 0)])
-            run = np.cumsum(new) - 1
-            few = np.bincount(run)[run] <= 2
-            single += np.bincount(number[few], minlength=len(strings))
-            ok = inside[number]
-            key, n = _sorted_unique(doc[ok] * base + code[number[ok]])
-            lo = np.concatenate([[False], np.diff(key) == 1])  # the sentence before is there, at least in part
-            hi = np.concatenate([np.diff(key) == 1, [False]]) if len(key) else lo[:0]
-            half = n >= np.maximum(1, (need[key % base] + 1) // 2)
-            total += np.bincount(key[half] % base, minlength=base)
-            by_itself = half & ~lo[: len(key)] & ~hi
-            alone += np.bincount(key[by_itself] % base, minlength=base)
-        s, t = np.flatnonzero(total), np.flatnonzero(single)
-        yield pa.RecordBatch.from_pydict({
-            "kind": pa.array([0] * len(s) + [1] * len(t), pa.int32()), "a": pa.array(np.concatenate([s // size, which[t]]), pa.int64()), "b": pa.array(np.concatenate([s % size, where[t]]), pa.int64()),
-            "total": pa.array(np.concatenate([total[s], single[t]])), "alone": pa.array(np.concatenate([alone[s], single[t]])),
-        })
-
-    counts = docs.mapInArrow(count, "kind int, a long, b long, total long, alone long").groupBy("kind", "a", "b").agg(F.sum("total").alias("total"), F.sum("alone").alias("alone"))
-    rows = counts.collect()  # a row per sentence and test string of the stated items at most
-    return {(r.a, r.b): (r.total, r.alone) for r in rows if r.kind == 0}, {(r.a, r.b): r.total for r in rows if r.kind == 1}
+        held = []
+        for n_plan, p in enumerate(shared.value):
+            size = max((it.sentences for it in p.items), default=1) + 1
+            sent = np.array([p.items[k].sentence[w] for k, w in zip(p.which, p.where, strict=True)], np.int64)
+            last = np.array([p.items[k].sentence[w + p.m - 1] for k, w in zip(p.which, p.where, strict=True)], np.int64)
+            inside, code = sent == last, p.which * size + sent
+            held.append((n_plan, p, size, inside, code, np.bincount(code[inside], minlength=len(p.items) * size)))
+        for ids, text, starts in _texts(batches, conf.batch_chars):
+            out: list[list[np.ndarray]] = [[np.full(len(ids), -1)], [np.arange(len(ids))], [np.zeros(len(ids), np.int64)], [np.zeros(len(ids), np.int64)], [np.zeros(len(ids), np.int64)]]
+            for n_plan, p, size, inside, code, need in held:
+                place, number = p.finder.find(text)
+                if not len(place):
+                    continue
+                base, n = len(p.items) * size, len(p.which)
+                doc = np.searchsorted(starts, place, "right") - 1
+                tile, _ = _sorted_unique(doc * n + number)  # each test string once a text, in the order of the items
+                doc, number = tile // n, tile % n
+                new = np.concatenate([[True], (np.diff(tile) > 2) | (np.diff(doc) > 0) | (np.diff(p.which[number]) > 0)])
+                few = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] <= 2
+                ok = inside[number]
+                key, many = _sorted_unique(doc[ok] * base + code[number[ok]])
+                lo = np.concatenate([[False], np.diff(key) == 1])[: len(key)]  # the sentence before is there, at least in part
+                hi = np.concatenate([np.diff(key) == 1, [False]])[: len(key)]
+                half = many >= np.maximum(1, (need[key % base] + 1) // 2)
+                for part, values in zip(out, (
+                    np.concatenate([np.full(half.sum(), 2 * n_plan), np.full(few.sum(), 2 * n_plan + 1)]), np.concatenate([key[half] // base, doc[few]]),
+                    np.concatenate([key[half] % base // size, number[few]]), np.concatenate([key[half] % size, np.zeros(few.sum(), np.int64)]),
+                    np.concatenate([(~lo & ~hi)[half].astype(np.int64), np.ones(few.sum(), np.int64)]),
+                ), strict=True):
+                    part.append(values)
+            kind, doc, a, b, alone = (np.concatenate(x).astype(np.int64) for x in out)
+            yield pa.RecordBatch.from_pydict({"h": pa.array(ids[doc].tolist(), pa.int64()), "kind": pa.array(kind), "a": pa.array(a), "b": pa.array(b), "alone": pa.array(alone)})
+
+    # copies of a text have one hash: they are one text
+    each = docs.select(F.xxhash64("t").alias("h"), "t").mapInArrow(count, "h long, kind long, a long, b long, alone long").distinct()
+    counts = cut(each.groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("total"), F.sum("alone").alias("alone")))
+    shared.unpersist()
+    first = counts.filter("kind = -1").first()
+    n = first.total if first else 0
+    rows = counts.filter((F.col("kind") % 2 == 0) & (F.col("kind") >= 0) & (F.col("alone") >= max(conf.standing_docs, conf.standing_share * n)) & (F.col("alone") >= conf.standing_alone * F.col("total"))).collect()
+    often = counts.filter((F.col("kind") % 2 == 1) & (F.col("kind") > 0) & (F.col("total") > max(3, conf.phrase_share * n))).collect()  # both a part of the block's sentences and test strings
+    common: dict[int, set[int]] = {}
+    for r in often:
+        common.setdefault(r.kind // 2, set()).add(r.a)
+    return [(r.kind // 2, r.a, r.b) for r in rows], common
 
 
 def leaked(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, doc_text: str = "text", item_text: str = "text", conf: Search = Search()) -> DataFrame:
     """(item_id, doc_id, share): documents that contain at least ``conf.share`` of an item's own text in one passage.
 
-    Null and blank texts and items match nothing; items of fewer than ``m`` compared
-    characters can't be searched and match nothing; repeated documents are reported each,
-    repeated items each. Empty tables give no rows. Texts are searched whole.
+    Null and blank texts and items match nothing; items of fewer than nine compared
+    characters have to be there whole, of fewer than three they match nothing; repeated
+    documents are reported each, repeated items each. Empty tables give no rows. Texts are
+    searched whole.
     """
     kinds = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
     schema = f"item_id {kinds[1]}, doc_id {kinds[0]}, share double"
     base = docs.filter(F.col(doc_text).isNotNull()).select(F.col(doc_id).alias("id"), F.col(doc_text).alias("t"))
-    n_docs = base.count()
     out = None
-    listed = [read_item(r[0], r[1]) for r in items.filter(F.col(item_text).isNotNull()).select(item_id, item_text).toLocalIterator()]
+    listed = (read_item(r[0], r[1]) for r in items.filter(F.col(item_text).isNotNull()).select(item_id, item_text).toLocalIterator())
     for block in _blocks(listed, conf.block_chars):
-        counts, singles = _counts(base, block, conf)
-        for (k, s), (total, alone) in counts.items():
-            if alone >= max(conf.standing_docs, conf.standing_share * n_docs) and alone >= conf.standing_alone * total:
-                block[k].own[block[k].sentence == s] = False
-        common = frozenset(k for k, n in singles.items() if n > max(3, conf.phrase_share * n_docs))
-        part = _search(base, block, common, conf, schema)
-        out = part if out is None else out.unionByName(part)
+        plans = _plans(block, conf)
+        if not plans:
+            continue
+        standing, common = _counts(base, plans, conf)
+        for p, k, sentence in standing:
+            it = plans[p].items[k]
+            part = it.sentence == sentence
+            if it.sentences > 1 and part.sum() < conf.share * len(it.text):
+                it.own[part] = False
+        found = _search(base, [_without_standing(p, n, common.get(n, set())) for n, p in enumerate(plans)], conf, schema)
+        out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _search(base: DataFrame, block: list[Item], common: frozenset[tuple[int, int]], conf: Search, schema: str) -> DataFrame:
-    shared = base.sparkSession.sparkContext.broadcast((block, common))
+def _without_standing(p: Plan, n: int, common: set[int]) -> tuple[Plan, np.ndarray]:
+    """The plan of pass 2: test strings of item text only, and which of them are rare by themselves."""
+    keep = np.array([p.items[k].own[w : w + p.m].all() for k, w in zip(p.which, p.where, strict=True)], bool)
+    rare = np.array([i not in common for i in range(len(p.which))], bool)[keep]
+    which, where = p.which[keep], p.where[keep]
+    strings = [p.items[k].chars[w : w + p.m] for k, w in zip(which, where, strict=True)]
+    return Plan(p.items, p.m, WuManber(strings, p.m, p.finder.lane), which, where), rare
+
+
+def _search(base: DataFrame, plans: list[tuple[Plan, np.ndarray]], conf: Search, schema: str) -> DataFrame:
+    shared = base.sparkSession.sparkContext.broadcast(plans)
     kinds = [f.dataType for f in base.sparkSession.createDataFrame([], schema).schema]
     from pyspark.sql.pandas.types import to_arrow_type
 
     types = [to_arrow_type(k) for k in kinds]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        its, skip = shared.value
-        strings, which, where = test_strings(its, conf.m, conf.stride, skip)
-        finder = WuManber(strings, conf.m, conf.lane)
-        least = [max(1, conf.share * it.own.sum()) for it in its]
-        # a passage of the least length holds so many test strings, of which some are whole
-        have = np.bincount(which, minlength=len(its))
-        need = np.array([max(1, int(conf.intact * (conf.share * h - 2))) for h in have])
-        before = [np.concatenate([[0], np.cumsum(it.own)]) for it in its]
+        held = []
+        for p, rare in shared.value:
+            its = p.items
+            least = [max(1, conf.share * it.own.sum()) if len(it.text) >= 9 else len(it.text) for it in its]
+            have = np.bincount(p.which, minlength=len(its))
+            short = np.array([len(it.text) < conf.short for it in its], bool)
+            need = np.where(short, 1, np.maximum(1, (conf.intact * (conf.share * have - 2)).astype(int)))
+            held.append((p, rare, least, need, [np.concatenate([[0], np.cumsum(it.own)]) for it in its]))
         for ids, text, starts in _texts(batches, conf.batch_chars):
-            place, number = finder.find(text)
-            if not len(place):
-                continue
-            doc = np.searchsorted(starts, place, "right") - 1
-            keep = _dense(doc, which[number], place - where[number], number, need, conf.band)
-            place, number, doc = place[keep], number[keep], doc[keep]
-            order = np.lexsort((place, which[number], doc))
-            place, number, doc = place[order], number[order], doc[order]
-            found: dict[tuple[int, int], float] = {}
-            pair, done, last_doc, chars = None, -1, -1, ""
-            for p, n, d in zip(place.tolist(), number.tolist(), doc.tolist(), strict=True):
-                k = int(which[n])
-                if d != last_doc:
-                    e = int(starts[d + 1]) - 1 if d + 1 < len(starts) else len(text)
-                    chars, last_doc = "".join(map(chr, text[starts[d] : e])), d
-                if (d, k) != pair:
-                    pair, done = (d, k), -1
-                here = p - int(starts[d])
-                if here < done:
-                    continue  # inside the passage just grown
-                lo, hi, done_to = _grow(chars, its[k].chars, here, int(where[n]), conf.m)
-                own = int(before[k][hi] - before[k][lo])
-                done = done_to
-                if own >= least[k]:
-                    found[(k, d)] = max(found.get((k, d), 0.0), own / max(1, int(its[k].own.sum())))
+            found: dict[tuple[int, int, int], float] = {}
+            for n_plan, (p, rare, least, need, before) in enumerate(held):
+                place, number = p.finder.find(text)
+                if not len(place):
+                    continue
+                doc = np.searchsorted(starts, place, "right") - 1
+                keep = rare[number] | _dense(doc, p.which[number], place - p.where[number], number, need, conf.band)
+                place, number, doc = place[keep], number[keep], doc[keep]
+                order = np.lexsort((place, p.which[number], doc))
+                pair, done, last_doc, chars = None, -1, -1, ""
+                for at, n, d in zip(place[order].tolist(), number[order].tolist(), doc[order].tolist(), strict=True):
+                    k = int(p.which[n])
+                    if d != last_doc:
+                        e = int(starts[d + 1]) - 1 if d + 1 < len(starts) else len(text)
+                        chars, last_doc = text[starts[d] : e].astype("<u4").tobytes().decode("utf-32-le", "replace"), d
+                    if (d, k) != pair:
+                        pair, done = (d, k), -1
+                    here = at - int(starts[d])
+                    if here < done:
+                        continue  # inside the passage just grown
+                    lo, hi, done = _grow(chars, p.items[k].chars, here, int(p.where[n]), p.m)
+                    own = int(before[k][hi] - before[k][lo])
+                    if own >= least[k]:
+                        found[(n_plan, k, d)] = max(found.get((n_plan, k, d), 0.0), own / max(1, int(p.items[k].own.sum())))
             if found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([its[k].item_id for k, _ in found], types[0]), pa.array([ids[d] for _, d in found], types[1]), pa.array(list(found.values()), types[2])], names=["item_id", "doc_id", "share"]
+                    [pa.array([held[p][0].items[k].item_id for p, k, _ in found], types[0]), pa.array([ids[d] for *_, d in found], types[1]), pa.array(list(found.values()), types[2])], names=["item_id", "doc_id", "share"]
                 )
 
     return base.mapInArrow(search, schema)
