@@ -49,19 +49,22 @@ def first_new(items: DataFrame, state: DataFrame, position: str, limit: int, key
     return unseen(items, state, key).orderBy(position, key).limit(limit)
 
 
-def early_stop(items: DataFrame, target: int, run: int = 5, page: str = "page_no", seen: str = "seen") -> DataFrame:
+def early_stop(items: DataFrame, target: int, run: int = 5, page: str = "page_no", seen: str = "seen", source: str | None = None) -> DataFrame:
     """Items of the pages that an ordered crawl reads: it stops before a page >= 2 once ``target`` items are unseen, and after ``run`` consecutive pages with nothing new.
 
-    Pages without items are skipped and leave the count of such pages as it is; page 1
-    never counts. The windows run over one row per page.
+    Every ``source`` (all items are one without it) is crawled by itself. Pages without
+    items are skipped and leave the count of such pages as it is; page 1 never counts. The
+    windows run over one row per page of a source.
     """
-    pages = items.groupBy(page).agg(F.count_if(~F.col(seen)).alias("_new"))
-    w = W.orderBy(page)
+    key = [source] if source else []
+    pages = items.groupBy(*key, page).agg(F.count_if(~F.col(seen)).alias("_new"))
+    of = [F.col(source)] if source else [F.lit(0)]
+    w = W.partitionBy(*of).orderBy(page)
     stale = (F.col("_new") == 0) & (F.col(page) > 1)
     pages = pages.withColumn("_before", F.coalesce(F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     pages = pages.withColumn("_island", F.sum(F.when(stale, 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    pages = pages.withColumn("_length", F.when(stale, F.row_number().over(W.partitionBy("_island", stale).orderBy(page))).otherwise(0))
+    pages = pages.withColumn("_length", F.when(stale, F.row_number().over(W.partitionBy(*of, "_island", stale).orderBy(page))).otherwise(0))
     stopped = F.coalesce(F.max((F.col("_length") >= run).cast("int")).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     met = (F.col("_before") >= target) & (F.col(page) > 1)
     pages = pages.withColumn("_stop", F.greatest(stopped, met.cast("int")))
-    return items.join(pages.filter("_stop = 0").select(page), page, "left_semi")
+    return items.join(pages.filter("_stop = 0").select(*key, page), [*key, page], "left_semi")

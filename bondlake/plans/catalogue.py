@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from bondlake import dims
 from bondlake.functions import dates as D, text as X
 from bondlake.functions.numerals import issue_range, numeral, spell
+from bondlake.operators.cut import scratch
 from bondlake.operators import extract as E, payloads as P, state as S, stats as A
 from bondlake.operators.spikes import Field, flag_spikes
 from bondlake.sources import pages as L
@@ -388,26 +388,18 @@ def legacy_results(spark, d):
 def state_schema_roundtrip(spark, d):
     """Written as a version of a state and read back with its schema: codes stay strings, dates dates."""
     x = read(spark, d, "state_plans").select("plan_id", "province_code", "covered_period_start")
-    path = _scratch(spark)
+    path = scratch(spark)
     L.write_state(x, path, 0)
     return L.read_state(spark, path, x.schema)
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A fresh folder in the shared folder that the cluster names, else a private one."""
-    import uuid
-
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{named}/bondlake-{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="bondlake-")
-
-
 @query("select max(ann_id) as seq, url, issue_no, term from state_announcements group by url, issue_no, term")
 def streaming_merge_equals_batch(spark, d):
     """The announcements in three files, streamed in and merged: the same rows as the batch merge."""
     from bondlake.streaming.merging import merge_stream, merged
 
     x = read(spark, d, "state_announcements").select(F.col("ann_id").alias("seq"), "url", "issue_no", "term")
-    base = _scratch(spark)
+    base = scratch(spark)
     x.repartition(3).write.parquet(f"{base}/in")
     merge_stream(spark, f"{base}/in", x.schema, f"{base}/state", f"{base}/check", S.ANNOUNCEMENT_KEYS).awaitTermination()
     return merged(spark, f"{base}/state", x.schema)
