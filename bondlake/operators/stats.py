@@ -100,6 +100,12 @@ def month_slice(plans: DataFrame, month_start: Column) -> DataFrame:
     return plans.filter(F.col("covered_period_start") == month_start)
 
 
+def current_and_next(plans: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """The slices of the month of ``as_of`` and of the following one."""
+    month = F.trunc(as_of, "MM")
+    return {"current": month_slice(plans, month), "next": month_slice(plans, F.add_months(month, 1))}
+
+
 def month_by_province(plans: DataFrame) -> DataFrame:
     sums = [F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(n) for c, n in AMOUNTS.items()]
     out = plans.dropna(subset=["province"]).groupBy("province").agg(*sums)

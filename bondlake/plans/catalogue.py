@@ -12,6 +12,7 @@ from bondlake.functions.numerals import issue_range, numeral, spell
 from bondlake.operators.cut import scratch
 from bondlake.operators import extract as E, payloads as P, state as S, stats as A
 from bondlake.operators.spikes import Field, flag_spikes
+from bondlake.plans import tables as T
 from bondlake.sources import pages as L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,14 +68,12 @@ def workday_gap_crosscheck(spark, d):
     return x.select("ann_id", D.workdays_by_formula(F.col("pub_date"), F.col("bid_date")).alias("gap"))
 
 
-@query("""select ann_id, case when abs(bid_date - pub_date) <= 60 then bid_date end as bid_date, case when abs(bid_date - pub_date) <= 60 then (bid_date - pub_date)::int end as gap,
-          case when bid_date - pub_date < 0 and abs(bid_date - pub_date) <= 60 then 'negative' when abs(bid_date - pub_date) > 60 then 'dropped' else '' end as note from state_announcements""")
+@query(f"""select ann_id, case when abs(bid_date - pub_date) <= 60 then bid_date end as bid_date, case when abs(bid_date - pub_date) <= 60 then (bid_date - pub_date)::int end as gap,
+          case when bid_date - pub_date < 0 and abs(bid_date - pub_date) <= 60 then '{E.NOTES["late"]}' when abs(bid_date - pub_date) > 60 then '{E.NOTES["far"]}' || (bid_date - pub_date)::int else '' end as note from state_announcements""")
 def gap_sanity_clamp(spark, d):
     """The clamp of implausible gaps, at 60 days so that these tables have cases on both sides."""
-    gap = F.datediff("bid_date", "pub_date")
-    near = F.abs(gap) <= 60
-    note = X.warnings(((gap < 0) & near, "negative"), (~near, "dropped"))
-    return read(spark, d, "state_announcements").select("ann_id", F.when(near, F.col("bid_date")).alias("bid_date"), F.when(near, gap).alias("gap"), note.alias("note"))
+    bid, gap, note = E.sane_gap(F.col("bid_date"), F.col("pub_date"), 60)
+    return read(spark, d, "state_announcements").select("ann_id", bid.alias("bid_date"), gap.alias("gap"), note.alias("note"))
 
 
 # ---------------------------------------------------------------- lead statistics
@@ -272,11 +271,19 @@ def calendar_payload_json(spark, d):
     return x.select("monthLabel", F.to_json(F.struct(*x.columns), {"ignoreNullFields": "false"}).alias("json"))
 
 
-@query("""with h as (select d, row_number() over (order by d) k from dim_calendar where isodow(d) < 6 and not is_workday), m as (select d, row_number() over (order by d) k from dim_calendar where isodow(d) >= 6 and is_workday)
-          select h.d as holiday, m.d as makeup, k::int as k from h full join m using (k)""")
+#: The public holiday schedule of 2024 from May.
+OFF_2024 = ["2024-05-01", "2024-05-02", "2024-05-03", "2024-06-10", "2024-09-16", "2024-09-17", "2024-10-01", "2024-10-02", "2024-10-03", "2024-10-04", "2024-10-07"]
+ON_2024 = ["2024-04-28", "2024-05-11", "2024-09-14", "2024-09-29", "2024-10-12"]
+
+
+@query(f"""with h as (select unnest({OFF_2024})::date d), m as (select unnest({ON_2024})::date d), hk as (select d, row_number() over (order by d) k from h), mk as (select d, row_number() over (order by d) k from m)
+          select hk.d as holiday, mk.d as makeup, k::int as k from hk full join mk using (k)""")
 def holiday_makeup_lists(spark, d):
-    """Weekdays off and weekend days worked, side by side; this calendar has only weekends free, so both are empty here."""
-    c = read(spark, d, "dim_calendar")
+    """Weekdays off and weekend days worked of a calendar with holidays, side by side."""
+    from datetime import date
+
+    days = lambda xs: [date.fromisoformat(x) for x in xs]
+    c = dims.calendar(spark, date(2024, 1, 1), date(2024, 12, 31), days(OFF_2024), days(ON_2024))
     w = W.orderBy("d")
     off = c.filter((F.weekday("d") < 5) & ~F.col("is_workday")).select(F.col("d").alias("holiday"), F.row_number().over(w).alias("k"))
     on = c.filter((F.weekday("d") >= 5) & F.col("is_workday")).select(F.col("d").alias("makeup"), F.row_number().over(w).alias("k"))
@@ -356,13 +363,58 @@ def report_counts(spark, d):
     return read(spark, d, "state_announcements").agg(*[F.count_if(m == v).alias(v) for v in ("text", "ocr", "failed")], F.count_if(F.length("warnings") > 0).alias("warned"))
 
 
-STATUS = "('included'),('no_attachment'),('error:pdf_failed:x'),('error:fetch_failed:y'),('included')"
+LISTED = "(select url, max(title) as title, max(pub_date) as pub_date, max(source_name) as source_name, 'announcement' as doc_type from state_announcements group by url)"
+
 
+def _listed(spark, d):
+    x = read(spark, d, "state_announcements")
+    return x.groupBy("url").agg(*[F.max(c).alias(c) for c in ("title", "pub_date", "source_name")]).withColumn("doc_type", F.lit("announcement"))
 
-@query(f"select split_part(s, ':', 1) as bucket, count(*) as n from (values {STATUS}) t(s) group by 1")
+
+@query(f"select case when method is null then 'no_attachment' when method = 'failed' then 'error' else 'included' end as bucket, count(*) as n from {LISTED} l left join pdf_extract p using (url) group by 1")
 def status_buckets(spark, d):
-    x = spark.sql(f"select * from values {STATUS} t(s)")
-    return x.groupBy(F.split_part("s", F.lit(":"), F.lit(1)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    x = E.dispatched(_listed(spark, d), read(spark, d, "pdf_extract"), read(spark, d, "dim_calendar"))["status"]
+    return x.groupBy(F.split_part("status", F.lit(":"), F.lit(1)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(rf"""with docs as (select l.*, p.text, p.tables, p.method from {LISTED} l join pdf_extract p using (url)),
+    t as (select url, unnest(tables) as tab from docs where method = 'text'), r as (select url, tab[1] as head, unnest(tab[2:]) as row from t where len(tab) >= 2),
+    c as (select url, row[list_position(head, '债券名称')] as name, coalesce(row[list_position(head, '期限')], '') as term, coalesce(row[list_position(head, '面值（亿元）')], '') as amount from r where list_contains(head, '期限') and list_contains(head, '面值（亿元）') and len(list_filter(row, lambda x: x is not null)) > 0),
+    rows as (select url, nullif(name, '') as bond_name, try_cast(nullif(regexp_extract(term, '(\d{{1,2}})\s*年', 1), '') as int)::varchar || 'Y' as term, try_cast(nullif(regexp_extract(replace(amount, ',', ''), '([\d,]+\.?\d*)', 1), '') as double) as amount from c where term <> '' or amount <> ''),
+    every as (select url, bond_name, term, amount, 'tranche' as kind from rows union all select url, null, null, null, case when method = 'failed' then 'failed' else 'document' end from docs where url not in (select url from rows))
+    select url, kind, d.title, d.pub_date, d.method as extraction_method, bond_name, term, case when kind = 'tranche' then amount end as tranche_amount,
+      case when contains(coalesce(case kind when 'tranche' then bond_name when 'document' then d.title end, ''), '再融资') then 'refinancing' when contains(coalesce(case kind when 'tranche' then bond_name when 'document' then d.title end, ''), '专项') then 'new_special' when contains(coalesce(case kind when 'tranche' then bond_name when 'document' then d.title end, ''), '一般') then 'new_general' end as category_code
+    from every join docs d using (url)""")
+def announcement_documents(spark, d):
+    """Listed announcements through their documents to rows: the whole run, every document of the table."""
+    rows = E.dispatched(_listed(spark, d), read(spark, d, "pdf_extract"), read(spark, d, "dim_calendar"))["announcements"]
+    failed, merged = F.contains("warnings", F.lit(E.FAILED)), F.contains("warnings", F.lit(E.NOTES["merged"]))
+    kind = F.when(failed, "failed").when(merged, "document").otherwise("tranche")
+    return rows.select("url", kind.alias("kind"), "title", "pub_date", "extraction_method", "bond_name", "term", F.when(kind == "tranche", F.col("total_amount_yi")).alias("tranche_amount"), "category_code")
+
+
+@query("""with urls as (select source_name as source, url, min(pub_date) as first, max(pub_date) as last from state_announcements group by 1, 2),
+    items as (select source, url, ((row_number() over (partition by source order by last desc, url) - 1) // 5 + 1)::int as page_no, first < date '2022-01-01' as seen from urls),
+    p as (select source, page_no, count(*) filter (not seen) as fresh from items group by 1, 2),
+    q as (select *, fresh = 0 and page_no > 1 as stale, coalesce(sum(fresh) over (partition by source order by page_no rows between unbounded preceding and 1 preceding), 0) as before,
+        sum((not (fresh = 0 and page_no > 1))::int) over (partition by source order by page_no) as island from p),
+    s as (select *, case when stale then row_number() over (partition by source, island, stale order by page_no) else 0 end as length from q),
+    z as (select *, coalesce(max((length >= 5)::int) over (partition by source order by page_no rows between unbounded preceding and 1 preceding), 0) as stopped from s)
+    select source, page_no, url, seen from items join z using (source, page_no) where stopped = 0 and not (before >= 300 and page_no > 1)""")
+def crawl_by_source(spark, d):
+    """The documents of every source as its listing, five a page and the newest first; what came before 2022 has been seen. Each source stops by itself."""
+    u = read(spark, d, "state_announcements").groupBy(F.col("source_name").alias("source"), "url").agg(F.min("pub_date").alias("first"), F.max("pub_date").alias("last"))
+    place = F.row_number().over(W.partitionBy("source").orderBy(F.desc("last"), "url")) - 1
+    items = u.select("source", "url", (F.floor(place / 5) + 1).cast("int").alias("page_no"), (F.col("first") < "2022-01-01").alias("seen"))
+    return S.early_stop(items, target=300, source="source").select("source", "page_no", "url", "seen")
+
+
+@query("""with m as (select date '2022-04-01' as s, 'current' as which union all select date '2022-05-01', 'next')
+    select which, province, round(sum(coalesce(plan_general_amount_yi, 0)) + sum(coalesce(plan_special_amount_yi, 0)) + sum(coalesce(plan_refinancing_amount_yi, 0)), 2) as total from state_plans join m on covered_period_start = s where province is not null group by 1, 2""")
+def plan_current_and_next_month(spark, d):
+    """The month of an as-of date and the one after it."""
+    both = A.current_and_next(read(spark, d, "state_plans"), F.lit("2022-04-18").cast("date"))
+    return A.month_by_province(both["current"]).select(F.lit("current").alias("which"), "province", "total").unionByName(A.month_by_province(both["next"]).select(F.lit("next").alias("which"), "province", "total"))
 
 
 @query("select ann_id as \"序号\", province as \"所属省份/计划单列市\", total_amount_yi as \"发行规模(亿元)\" from state_announcements")
@@ -373,10 +425,17 @@ def export_projection(spark, d):
     return x.select(*[(F.when(~F.isnan(c), F.col(c)) if kinds[c] == "double" else F.col(c)).alias(n) for c, n in labels.items()])
 
 
-@query("select result_id, bond_code from state_results where bond_code is not null and extraction_method is distinct from 'unsupported_legacy_format'")
+DICTIONARY = ["result_id", "bond_code", "bond_short_name", "bond_name", "bond_market_type", "province", "province_code", "category_code", "category_label", "term", "total_amount_yi", "coupon_rate_pct", "issue_date", "value_date", "payment_freq", "batch_label", "url"]
+
+
+@query(f"select {', '.join(DICTIONARY)} from state_results where bond_code is not null")
 def bond_dictionary(spark, d):
-    x = read(spark, d, "state_results")
-    return x.filter(F.col("bond_code").isNotNull() & ~F.col("extraction_method").eqNullSafe("unsupported_legacy_format")).select("result_id", "bond_code")
+    return T.bond_dictionary(read(spark, d, "state_results"))[0].select(*DICTIONARY)
+
+
+@query("""select ann_id, category_code, case category_code when 'new_general' then '一般新增债券' when 'new_special' then '专项新增债券' when 'refinancing' then '再融资债券' end as label from state_announcements""")
+def category_label_lookup(spark, d):
+    return read(spark, d, "state_announcements").select("ann_id", "category_code", X.category_label(F.col("category_code")).alias("label"))
 
 
 @query("select result_id, title from state_results where extraction_method = 'unsupported_legacy_format'")
@@ -384,12 +443,12 @@ def legacy_results(spark, d):
     return read(spark, d, "state_results").filter("extraction_method = 'unsupported_legacy_format'").select("result_id", "title")
 
 
-@query("select plan_id, province_code, covered_period_start from state_plans")
+@query("select * from state_plans")
 def state_schema_roundtrip(spark, d):
-    """Written as a version of a state and read back with its schema: codes stay strings, dates dates."""
-    x = read(spark, d, "state_plans").select("plan_id", "province_code", "covered_period_start")
+    """Written as a version of a state, sorted, and read back with its schema: codes stay strings, dates dates."""
+    x = read(spark, d, "state_plans")
     path = scratch(spark)
-    L.write_state(x, path, 0)
+    L.write_state(x, path, 0, ["pub_date", "plan_id"])
     return L.read_state(spark, path, x.schema)
 
 
@@ -578,13 +637,13 @@ def _docs(spark, rows, day="2026-07-15"):
     return x.selectExpr("*", f"date '{day}' as pub_date", "'s' as source_name", "'d' as doc_type")
 
 
-@query("""select * replace (total_amount_yi::double as total_amount_yi) from (values ('u1', '北京市', 'new_special', '10Y', 12, 12, null, 1000.5, date '2026-07-24', 9, 7, '财库〔2020〕43号'), ('u1', '北京市', 'new_general', '5Y', 12, null, '8,9,10', 100.0, date '2026-07-24', 9, 7, '财库〔2020〕43号'),
+@query("""select * replace (total_amount_yi::double as total_amount_yi) from (values ('u1', '北京市', 'new_special', '10Y', 12, 12, null, 1000.5, date '2026-07-24', 9, 7, '依据财库〔2020〕43号'), ('u1', '北京市', 'new_general', '5Y', 12, null, '8,9,10', 100.0, date '2026-07-24', 9, 7, '依据财库〔2020〕43号'),
     ('u2', '天津市', 'new_general', null, null, null, null, 20.0, date '2026-07-01', -14, null, null), ('u3', '上海市', null, null, null, null, null, null, null, null, null, null)) t(url, province, category_code, term, batch_no, issue_no, issue_no_range, total_amount_yi, bid_date, natural_day_gap, workday_gap, doc_no)""")
 def announcement_extraction(spark, d):
     from datetime import date
 
     x = E.announcements(_docs(spark, ANN_DOC), dims.calendar(spark, date(2026, 1, 1), date(2026, 12, 31)))
-    return x.select("url", "province", "category_code", "term", "batch_no", "issue_no", "issue_no_range", "total_amount_yi", "bid_date", "natural_day_gap", "workday_gap", F.regexp_replace("doc_no", "^依据", "").alias("doc_no"))
+    return x.select("url", "province", "category_code", "term", "batch_no", "issue_no", "issue_no_range", "total_amount_yi", "bid_date", "natural_day_gap", "workday_gap", "doc_no")
 
 
 @query(r"""with t as (select pdf_id, unnest(tables) as tab from pdf_extract), r as (select pdf_id, tab[1] as head, unnest(tab[2:]) as row from t where len(tab) >= 2),
@@ -608,13 +667,13 @@ def result_extraction(spark, d):
     return x.select("url", "bond_code", "category_code", "term", "total_amount_yi", "coupon_rate_pct", "extraction_method", F.when(F.col("warnings") == "", 0).otherwise(F.size(F.split("warnings", "; "))).alias("notes"))
 
 
-@query("""select result_id, case when length(bond_code) <= 12 and regexp_full_match(bond_code, '[0-9A-Za-z.]+') then bond_code end as bond_code, case when coupon_rate_pct between 0.1 and 4.0 then coupon_rate_pct end as coupon, case when total_amount_yi > 0 and total_amount_yi <= 100 then total_amount_yi end as total,
-    concat_ws('; ', case when not (length(bond_code) <= 12 and regexp_full_match(bond_code, '[0-9A-Za-z.]+')) then 'code' end, case when not (coupon_rate_pct between 0.1 and 4.0) then 'coupon' end, case when not (total_amount_yi > 0 and total_amount_yi <= 100) then 'total' end) as warnings from state_results""")
+@query(f"""select result_id, case when length(bond_code) <= 12 and regexp_full_match(bond_code, '[0-9０-９A-Za-z.]+') then bond_code end as bond_code, case when coupon_rate_pct between 0.1 and 4.0 then coupon_rate_pct end as coupon, case when total_amount_yi > 0 and total_amount_yi <= 100 then total_amount_yi end as total,
+    (bond_code is not null and not (length(bond_code) <= 12 and regexp_full_match(bond_code, '[0-9０-９A-Za-z.]+')))::int + coalesce((not coupon_rate_pct between 0.1 and 4.0)::int, 0) + coalesce((not (total_amount_yi > 0 and total_amount_yi <= 100))::int, 0) as notes from state_results""")
 def warnings_concat(spark, d):
     """Range checks that null a value and add a warning, with bounds that these tables have cases on both sides of."""
-    c, q, t = F.col("bond_code"), F.col("coupon_rate_pct"), F.col("total_amount_yi")
-    ok_c, ok_q, ok_t = (F.length(c) <= 12) & c.rlike(r"^[0-9A-Za-z.]+\z"), q.between(0.1, 4.0), (t > 0) & (t <= 100)
-    return read(spark, d, "state_results").select("result_id", F.when(ok_c, c).alias("bond_code"), F.when(ok_q, q).alias("coupon"), F.when(ok_t, t).alias("total"), X.warnings((~ok_c, "code"), (~ok_q, "coupon"), (~ok_t, "total")).alias("warnings"))
+    (code, coupon, total), noted = E.result_ranges(F.col("bond_code"), F.col("coupon_rate_pct"), F.col("total_amount_yi"), coupons=(0.1, 4.0), most=100.0)
+    notes = X.warnings(*noted)
+    return read(spark, d, "state_results").select("result_id", code.alias("bond_code"), coupon.alias("coupon"), total.alias("total"), F.when(notes == "", 0).otherwise(F.size(F.split(notes, "; "))).alias("notes"))
 
 
 @query("select * from (values (1, 'N/A'), (2, '2.4'), (3, '2.6'), (4, '7.0')) t(id, shown)")

@@ -29,9 +29,18 @@ def summary_tables(anns: DataFrame, plans: DataFrame, dim_region: DataFrame, dim
         "by_quarter": A.lead_by(valid, "quarter").orderBy("quarter"),
         "anomalies": A.low_anomalies(x).orderBy("workday_gap", "url", "ann_id"),
         "plan_lead": A.plan_lead(plans, anns, calendar).orderBy("plan_id"),
+        "boxplot": A.boxplot(valid, "workday_gap", "term").join(order, "term").orderBy("term_ord").drop("term_ord"),
     }
 
 
+def raw_tables(anns: DataFrame, plans: DataFrame, results: DataFrame, dim_region: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
+    """Every row with its derived columns: announcements with both workday counts, plans, the bond dictionary and what has no code."""
+    coded, legacy = bond_dictionary(results)
+    holidays = calendar.filter((F.weekday("d") < 5) != F.col("is_workday")).select("d", "is_workday").orderBy("d")
+    detail = derived(anns, dim_region).drop("weekday_ord", "region_ord").join(formula_check(anns, calendar).select("ann_id", "by_formula", "gap_match"), "ann_id")
+    return {"detail": detail, "plans": plans.orderBy("covered_period_start", "plan_id"), "bond_dictionary": coded, "legacy_results": legacy, "holidays": holidays, "formula_check": formula_check(anns, calendar)}
+
+
 def formula_check(anns: DataFrame, calendar: DataFrame) -> DataFrame:
     """Both workday counts side by side; they agree wherever the bid isn't before the publication and the calendar has no holidays."""
     x = D.with_workday_gap(anns.select("ann_id", "pub_date", "bid_date"), calendar, "pub_date", "bid_date", "by_calendar")

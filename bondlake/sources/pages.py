@@ -65,19 +65,22 @@ class _Tree(HTMLParser):
         self.stack[-1]["kids"].append(data)
 
 
-def _walk(node: dict) -> Iterator[dict]:
-    for k in node["kids"]:
+def _nodes(node: dict) -> Iterator[dict | str]:
+    """Everything below a node in document order; an own stack, as markup may be nested without bound."""
+    rest = list(reversed(node["kids"]))
+    while rest:
+        k = rest.pop()
+        yield k
         if isinstance(k, dict):
-            yield k
-            yield from _walk(k)
+            rest.extend(reversed(k["kids"]))
+
+
+def _walk(node: dict) -> Iterator[dict]:
+    return (k for k in _nodes(node) if isinstance(k, dict))
 
 
 def _strings(node: dict) -> Iterator[str]:
-    for k in node["kids"]:
-        if isinstance(k, dict):
-            yield from _strings(k)
-        else:
-            yield k
+    return (k for k in _nodes(node) if isinstance(k, str))
 
 
 def _text(node: dict, between: str = "") -> str:
@@ -163,6 +166,6 @@ def read_state(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/v{have[-1]}") if have else spark.createDataFrame([], schema)
 
 
-def write_state(df: DataFrame, path: str, version: int) -> None:
-    """A new version beside the one being read; it counts from when it is complete."""
-    df.write.mode("overwrite").parquet(f"{path}/v{version}")
+def write_state(df: DataFrame, path: str, version: int, order: list[str] | None = None) -> None:
+    """A new version beside the one being read, globally sorted where an order is given; it counts from when it is complete."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(f"{path}/v{version}")

@@ -67,5 +67,30 @@ def test_listing_of_odd_markup(html, n):
 def test_report_renders(spark, tmp_path):
     from bondlake.plans.report import main
 
-    assert main(["/root/testdata/sf0.001", str(tmp_path)]) == 0
+    page = tmp_path / "page.html"
+    page.write_text("a /* plans begin */ /* plans end */ b /* calendar begin */\n{}\n/* calendar end */", encoding="utf-8")
+    day = spark.read.parquet("/root/testdata/sf0.001/state_plans.parquet").agg(F.max("covered_period_start")).first()[0]
+    assert main(["/root/testdata/sf0.001", str(tmp_path), "--raw", "--page", str(page), "--as-of", day.isoformat()]) == 0
+    assert '"monthLabel"' in page.read_text(encoding="utf-8") and f'"{day.year}年{day.month}月"' in page.read_text(encoding="utf-8")
+    assert spark.read.parquet(str(tmp_path / "detail")).count() == spark.read.parquet("/root/testdata/sf0.001/state_announcements.parquet").count()
     assert "## by_region" in (tmp_path / "report.md").read_text(encoding="utf-8")
+
+
+def test_block_is_replaced_only_where_it_differs():
+    from bondlake.plans.report import replace_block
+
+    text = "x /* m begin */ old /* m end */ y"
+    new, changed = replace_block(text, "m", "new")
+    assert changed and replace_block(new, "m", "new") == (new, False)
+    assert replace_block(text, "other", "new") == (text, False)
+
+
+def test_deep_markup_does_not_end_the_task():
+    assert listing_rows("<div id='to-print1'>" + "<b>" * 20_000 + "<ul><li><a href='x'>t</a></li></ul>") == [("x", "t", "")]
+
+
+def test_early_stop_is_by_source(spark):
+    rows = [(s, p, f"{s}{p}", seen) for s, seen in (("a", True), ("b", False)) for p in range(1, 12)]
+    x = spark.createDataFrame(rows, "source string, page_no int, url string, seen boolean")
+    got = S.early_stop(x, 100, source="source").groupBy("source").agg(F.max("page_no").alias("n"))
+    assert {r.source: r.n for r in got.collect()} == {"a": 6, "b": 11}
