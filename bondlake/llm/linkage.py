@@ -70,7 +70,6 @@ class Rules:
     accept: float = 0.5
     bucket: int = 20_000  #: links a task solves together, on average
     component: int = 100_000  #: links of a component that one task solves, at most
-    every: int = 5  #: rounds of an oversized component between two cuts of the lineage
 
 
 def solve(n: int, pro: np.ndarray, con: np.ndarray, groups: tuple[np.ndarray, np.ndarray], implies: np.ndarray, component: np.ndarray, r: Rules) -> np.ndarray:
@@ -144,23 +143,23 @@ def solve_spread(links: DataFrame, r: Rules) -> DataFrame:
     )
     copies = cut(copies.withColumn("u", F.lit(0.0)))
     values = base.select("v", "pro", "con", (F.col("pro") / F.greatest(F.col("pro") + F.col("con"), F.lit(1e-9))).alias("z"), F.lit(0.0).alias("u1"))
-    for step in range(1, r.steps + 1):
+    for _ in range(r.steps):
         w = copies.join(values.select("v", "z"), "v").withColumn("w", F.col("z") - F.col("u"))
         by_role = lambda k: F.coalesce(F.max(F.when(F.col("role") == k, F.col("w"))), F.lit(0.0))
         per = w.groupBy("c").agg(
             (F.greatest(F.lit(0.0), F.sum(F.when(F.col("role") == 0, F.col("w")).otherwise(0.0)) - 1) / F.count(F.lit(1))).alias("over"),
             (2 * r.alike * F.greatest(F.lit(0.0), by_role(1) - by_role(2)) / (r.rho + 4 * r.alike)).alias("move"),
         )
-        y = w.join(per, "c").withColumn("y", F.col("w") - F.when(F.col("role") == 0, F.col("over")).when(F.col("role") == 1, F.col("move")).otherwise(-F.col("move")))
+        # both halves of a round are cut, as either is read more than once by the next
+        y = cut(w.join(per, "c").select("v", "c", "role", "u", (F.col("w") - F.when(F.col("role") == 0, F.col("over")).when(F.col("role") == 1, F.col("move")).otherwise(-F.col("move"))).alias("y")))
         mean = y.groupBy("v").agg(F.sum(F.col("y") + F.col("u")).alias("s"), F.count(F.lit(1)).alias("k"))
         own = (2 * F.col("pro") + r.rho * (F.col("z") - F.col("u1"))) / (2 * F.col("pro") + 2 * F.col("con") + r.rho)
-        values = values.join(mean, "v").withColumn("y1", own).withColumn("new", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("y1") + F.col("u1") + F.col("s")) / (1 + F.col("k")))))
-        copies = y.join(values.select("v", "new"), "v").select("v", "c", "role", (F.col("u") + F.col("y") - F.col("new")).alias("u"))
-        values = values.select("v", "pro", "con", F.col("new").alias("z"), (F.col("u1") + F.col("y1") - F.col("new")).alias("u1"), F.abs(F.col("new") - F.col("z")).alias("moved"))
-        if step % r.every == 0 or step == r.steps:
-            values, copies = cut(values), cut(copies)
-            if (values.agg(F.max("moved")).first()[0] or 0.0) < r.tolerance:
-                break
+        new = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("y1") + F.col("u1") + F.col("s")) / (1 + F.col("k"))))
+        values = values.join(mean, "v").withColumn("y1", own).withColumn("new", new)
+        values = cut(values.select("v", "pro", "con", F.col("new").alias("z"), (F.col("u1") + F.col("y1") - F.col("new")).alias("u1"), F.abs(F.col("new") - F.col("z")).alias("moved")))
+        copies = y.join(values.select("v", "z"), "v").select("v", "c", "role", (F.col("u") + F.col("y") - F.col("z")).alias("u"))
+        if (values.agg(F.max("moved")).first()[0] or 0.0) < r.tolerance:
+            break
         values = values.drop("moved")
     return base.join(values.select("v", "z"), "v").select("left", "right", F.col("z").alias("confidence"))
 

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from bondlake.llm.linkage import link, solve
+from bondlake.llm.linkage import Rules, components, confident, link, link_entities, solve
 from bondlake.llm.nearest import nearest
 from bondlake.llm.survivor import bond_key, choose, consensus, real_value, survivors, tokens
 
@@ -73,7 +73,8 @@ def test_alternating_directions_solve_the_convex_problem():
     pro, con = rng.uniform(0, 4, n), rng.uniform(0.5, 4, n)
     groups = (np.array([0, 1, 2, 3, 4, 5]), np.array([0, 0, 0, 1, 1, 1]))
     implies = np.array([[0, 3], [1, 4]])
-    y = solve(n, pro, con, groups, implies, 2.0, 2.0, 4000, 1e-10)
+    r = Rules(alike=2.0, rho=2.0, steps=4000, tolerance=1e-10)
+    y = solve(n, pro, con, groups, implies, np.zeros(n, int), r)
 
     def cost(v):
         return (pro * (1 - v) ** 2 + con * v**2).sum() + 2.0 * (np.maximum(0, v[implies[:, 0]] - v[implies[:, 1]]) ** 2).sum()
@@ -83,29 +84,99 @@ def test_alternating_directions_solve_the_convex_problem():
         v = np.clip(y + rng.normal(0, 0.03, n), 0, 1)
         if v[:3].sum() <= 1 and v[3:].sum() <= 1:
             assert cost(v) >= cost(y) - 1e-3
+    # a component's values don't depend on what else is solved with it
+    two = solve(2 * n, np.tile(pro, 2), np.concatenate([con, con + 1]), (np.concatenate([groups[0], groups[0] + n]), np.concatenate([groups[1], groups[1] + 2])), np.concatenate([implies, implies + n]), np.repeat([0, 1], n), r)
+    assert np.allclose(two[:n], y)
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(100, 140)] + [(1, 200), (200, 3), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert {got[i] for i in range(100, 141)} == {100} and got[200] == got[3] == got[1] == 1
+
+
+def test_spread_rounds_give_the_values_of_one_task(spark):
+    rng = random.Random(4)
+    rows = [(i % 7, 100 + rng.randrange(9), rng.uniform(0, 8), rng.uniform(1, 8), rng.random() < 0.7, rng.choice([None, 1, 2])) for i in range(40)]
+    rows = list({(r[0], r[1]): r for r in rows}.values())
+    links = spark.createDataFrame(rows, "left long, right long, pro double, con double, coded boolean, like long")
+    near = {(r.left, r.right): r.confidence for r in confident(links, Rules(steps=5, tolerance=0.0)).collect()}
+    far = {(r.left, r.right): r.confidence for r in confident(links, Rules(steps=5, tolerance=0.0, component=3)).collect()}
+    assert near.keys() == far.keys() == {(r[0], r[1]) for r in rows}
+    assert all(abs(near[k] - far[k]) < 1e-9 for k in near)
+
+
+ATTRS = ("year", "place", "family", "kind", "number", "term", "amount", "batch", "day1", "day2", "name")
+SCHEMA = "id long, year string, place string, family string, kind string, number int, term int, amount double, batch int, day1 int, day2 int, name string, code string"
 
 
 def _described(side):
-    cols = {c: F.col(c) for c in ("block", "kind", "number", "term", "amount", "batch", "day1", "day2")}
-    return cols | ({"code": F.col("code")} if side else {})
+    return {c: F.col(c) for c in ATTRS} | ({"code": F.col("code")} if side else {})
+
+
+def _linked(spark, left, right):
+    lf, rf = spark.createDataFrame(left, SCHEMA).withColumn("mention", F.lit(0)), spark.createDataFrame(right, SCHEMA).withColumn("side", F.lit(0))
+    return {(r.left_id, r.right_id): r.confidence for r in link(lf, rf, "id", "id", _described(0), _described(1)).collect()}
+
+
+B = ("2024", "b", "G")
 
 
 def test_links(spark):
-    schema = "id long, block string, kind string, number int, term int, amount double, batch int, day1 int, day2 int, code string"
-    left = [(1, "b", "G", 1, 10, 5.5, 3, 100, 101, None), (2, "b", "G", 2, 10, 7.25, 3, 100, 101, None), (3, "b", "G", 1, 10, 5.5, 3, 100, 101, None), (4, "b", "S", 1, 10, 5.5, 3, 100, 101, None), (5, None, "G", 1, 10, 5.5, 3, 100, 101, None)]
-    right = [(11, "b", "G", 1, 10, 5.5, 3, 100, 102, "c1"), (12, "b", "?", None, 10, 7.2, 3, 99, None, "c2"), (13, "b", "G", 3, 10, 5.5, 3, 100, 101, "c3"), (14, "b", "G", 1, None, None, None, None, None, None), (15, "x", "G", 1, 10, 5.5, 3, 100, 101, None), (16, "b", "G", None, None, None, None, None, None, "c1")]
-    lf, rf = spark.createDataFrame(left, schema).withColumn("mention", F.lit(0)), spark.createDataFrame(right, schema).withColumn("side", F.lit(0))
-    got = {(r.left_id, r.right_id): r.confidence for r in link(lf, rf, "id", "id", _described(0), _described(1)).collect()}
+    left = [(1, *B, "G", 1, 10, 5.5, 3, 100, 101, None, None), (2, *B, "G", 2, 10, 7.25, 3, 100, 101, None, None), (3, *B, "G", 1, 10, 5.5, 3, 100, 101, None, None), (4, "2024", "b", "S", "S", 1, 10, 5.5, 3, 100, 101, None, None), (5, *[None] * 12)]
+    right = [(11, *B, "G", 1, 10, 5.5, 3, 100, 102, None, "c1"), (12, *B, None, None, 10, 7.2, 3, 99, None, None, "c2"), (13, *B, "G", 3, 10, 5.5, 3, 100, 101, None, "c3"), (14, *B, "G", 1, *[None] * 7), (15, "2023", "b", "G", "G", 1, 10, 5.5, 3, 100, 101, None, None), (16, *B, "G", *[None] * 7, "c1")]
+    got = _linked(spark, left, right)
     assert set(got) == {(1, 11), (3, 11), (2, 12), (1, 14), (3, 14), (1, 16), (3, 16)}
     assert all(0.5 <= c <= 1 for c in got.values())
+    lf, rf = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
     for a, b in ((lf.limit(0), rf), (lf, rf.limit(0))):
         assert link(a, b, "id", "id", _described(0), _described(1)).collect() == []
 
 
-def test_hot_copies_are_one_mention(spark):
-    one = [(i, "b", "G", 1, 10, 5.5, 3, 100, 101) for i in range(300)]
-    schema = "id long, block string, kind string, number int, term int, amount double, batch int, day1 int, day2 int"
-    lf = spark.createDataFrame(one, schema)
-    rf = spark.createDataFrame(one[:40], schema)
-    cols = {c: F.col(c) for c in ("block", "kind", "number", "term", "amount", "batch", "day1", "day2")}
-    assert link(lf, rf, "id", "id", cols, cols).count() == 300 * 40
+def test_rows_of_no_known_block(spark):
+    # two places without a year and one result: only the place that it has
+    left = [(1, None, "Aldra", "G", "G", 1, 10, 5.5, 3, 100, 101, None, None), (2, None, "Brenholt", "G", "G", 1, 10, 5.5, 3, 100, 101, None, None)]
+    right = [(11, "2024", "Brenholt", "G", "G", 1, 10, 5.5, 3, 100, 101, None, "c1")]
+    assert set(_linked(spark, left, right)) == {(2, 11)}
+
+
+def test_similar_names_decide(spark):
+    left = [(1, *B, "G", None, 10, 5.5, 3, 100, 101, "harbour rail link", None), (2, *B, "G", None, 10, 5.5, 3, 100, 101, "water treatment works", None)]
+    right = [(11, *B, "G", None, 10, 5.5, 3, 100, 101, "harbor rail link", "c1")]
+    assert set(_linked(spark, left, right)) == {(1, 11)}
+
+
+def test_hot_copies_are_one_entity(spark):
+    row = (*B, "G", 1, 10, 5.5, 3, 100, 101, None, None)
+    lf, rf = (spark.createDataFrame([(i, *row) for i in range(n)], SCHEMA) for n in (300, 40))
+    assert link(lf, rf, "id", "id", _described(0), _described(0)).count() == 300 * 40
+    assert link_entities(lf, rf, "id", "id", _described(0), _described(0))[0].count() == 1
+
+
+def test_one_block_of_very_many_descriptions(spark):
+    n = 200_000
+    x = spark.range(n).select(F.col("id"), F.lit("2024").alias("year"), F.lit("b").alias("place"), F.lit("G").alias("family"), F.lit("G").alias("kind"), F.col("id").cast("int").alias("number"), F.lit(10).alias("term"), (F.col("id") % 997 + 1).cast("double").alias("amount"), F.lit(3).alias("batch"), F.lit(100).alias("day1"), F.lit(101).alias("day2"), F.lit("n").alias("name"), F.col("id").cast("string").alias("code"))
+    got = link(x, x.limit(3000), "id", "id", _described(0), _described(1))
+    assert got.filter("left_id = right_id").count() == got.count() == 3000
+
+
+def test_all_values_vote(spark):
+    # thirty distinct values, of which the trusted one differs in a token that most share
+    rows = [(1, "k", "text", "10 0 x")] + [(i, "k", "ocr", f"10 7 x{'' if i % 3 else ' ' + str(i)}") for i in range(2, 40)] + [(50, "k", "ocr", None), (60, "other", "ocr", "z"), (61, None, "ocr", "z")]
+    df = spark.createDataFrame(rows, "id long, key string, m string, v string")
+    trust = lambda: [F.when(F.col("m") == "text", 0).otherwise(1)]
+    first = survivors(df, "id", F.col("key"), ["v"], trust()).collect()
+    assert [(r.group_id, r.value) for r in first] == [(1, "10 0 x")]
+    for part in (400, 7):
+        voted = survivors(df, "id", F.col("key"), ["v"], trust(), "votes", part=part).collect()
+        assert [(r.group_id, r.value) for r in voted] == [(1, "10 7 x")]
+    assert survivors(df.limit(0), "id", F.col("key"), ["v"], trust(), "votes").collect() == []
+
+
+def test_long_values_are_aligned_whole():
+    rng = random.Random(1)
+    a = [rng.choice("abcdefg") for _ in range(5000)]
+    b = a[:]
+    b[4800] = "z"
+    assert choose(["".join(x) for x in (["y"] + a[1:], [*b])], [1, 1]) in (0, 1)
+    assert consensus([a, b, a], [1, 1, 1]) == a

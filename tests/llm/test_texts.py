@@ -27,10 +27,10 @@ def test_form(raw, want):
 
 
 def test_repair_needs_the_vocabulary(spark):
-    values = ["BOT水厂（一期）", "再融资一般债券", "ВОT水厂（ー期）", "再融资ー般债券", "Москва站", "Ζzyx站", "Δ测控站", None, "", "BOT水厂（一期）"]
+    values = ["BOT水厂（一期）", "再融资一般债券", "ВОT水厂（ー期）", "再融资ー般债券", "Москва站", "Мoсква路", "сор", "ВОТ", "Ζzyx站", "Δ测控站", None, "", "BOT水厂（一期）"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, name string").withColumn("value", F.lit("clash")).withColumn("fixed", F.lit(1))
     got = {r.value: r.fixed for r in repair_columns((df, "id", ["name"])).collect()}
-    assert got == {"ВОT水厂（ー期）": "BOT水厂（一期）", "再融资ー般债券": "再融资一般债券"}
+    assert got == {"ВОT水厂（ー期）": "BOT水厂（一期）", "再融资ー般债券": "再融资一般债券", "Мoсква路": "Москва路"}
     assert repair_columns((df.limit(0), "id", ["name"])).collect() == []
     long = spark.createDataFrame([("甲" * 50_000 + "​",)], "value string")
     assert consistent(long).first().fixed == "甲" * 50_000
@@ -86,6 +86,18 @@ def test_leaks_equal_what_was_planted(spark):
     assert leaked(df, it.limit(0), "doc_id", "item_id").collect() == []
 
 
+def test_short_items_and_copies(spark):
+    words = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima".split()
+    rng = random.Random(8)
+    noise = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(40)]
+    items = [(1, "quixotryzm"), (2, "zyqx"), (3, "Vexing jumbly frockz."), (4, ""), (5, None)]
+    docs = [(i, t) for i, t in enumerate(noise)] + [(100 + i, noise[0] + " quixo-tryzm") for i in range(60)] + [(300, "golf ZYQX hotel"), (301, "alpha jum bly froc echo"), (302, None), (303, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("id", F.lit(1)).withColumn("item_id", F.lit(2))
+    got = {(r.item_id, r.doc_id) for r in leaked(df, spark.createDataFrame(items, "item_id long, text string"), "doc_id", "item_id").collect()}
+    assert got == {(1, 100 + i) for i in range(60)} | {(2, 300), (3, 301)}
+    assert leaked(df.limit(0), spark.createDataFrame(items, "item_id long, text string"), "doc_id", "item_id").collect() == []
+
+
 def test_search_finds_every_occurrence():
     from bondlake.llm.leaks import WuManber, codes
 
@@ -215,8 +227,8 @@ def test_hyphens():
         table[N.OFFSET["word"] + (N._word_code(w) & (N.WORD - 1))] = 16
     a, b = N.join_features(lines[0], lines[1], table), N.join_features(lines[1], lines[2], table)
     assert "w6" in a and "w0" in b
-    assert N.ends_broken(lines[0]) and not N.ends_broken("2019-") is None
-    assert N.rebuilt(lines, [False] * 3, [0], [], table) == "the underwriting of debt-service cover"
+    assert N.ends_broken(lines[0]) and not N.ends_broken("2019-") and not N.ends_broken("word")
+    assert N.rebuilt(lines, [False] * 3, [0], [], N.Models(table, N.Linear(), None, 0.0)) == "the underwriting of debt-service cover"
 
 
 def test_insert_puts_the_missing_character_back():
@@ -230,8 +242,8 @@ def test_insert_puts_the_missing_character_back():
     table = np.log2(1 + counts * (1e7 / counts[: N.UNI].sum())).astype(np.float32)
     for line, at in ((lines[0], 5), (lines[1], 20), (lines[-1], 8), (lines[-1], 21)):
         gap = line[: at + 1] + line[at + 2 :]
-        assert N.corrected(gap, [(N.INSERT, at)], table) == line
-        assert N.corrected(line, [(N.INSERT, at)], table) == line  # nothing is missing
+        assert N.corrected(gap, [(N.INSERT, at)], table, {}) == line
+        assert N.corrected(line, [(N.INSERT, at)], table, {}) == line  # nothing is missing
     assert N.missing("项目甲", 2, table) == ""  # at a line end nothing tells which
 
 
@@ -269,5 +281,5 @@ def test_page_grid_of_long_scans_and_long_headers():
         assert g.period == 12
         assert all(g.sure[i] == 1 for i in range(0, len(lines), 12)) and all(g.sure[i] == 1 for i in range(11, len(lines), 12))
         assert not any(g.sure[i] == 1 for i in range(len(lines)) if i % 12 not in (0, 11))
-        none = N.Models(None, N.Linear(), None, None, None, 0.0)
+        none = N.Models(None, N.Linear(), None, 0.0)
         assert N.read_page("\n".join(lines), 450, none)[1] == [i % 12 in (0, 11) for i in range(len(lines))]
