@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 from datetime import date, timedelta
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from bondlake.llm.linkage import Rules, components, confident, link, link_entities, solve
 from bondlake.llm.nearest import nearest
+from bondlake.llm.queries import ORACLES, QUERIES
 from bondlake.llm.survivor import bond_key, choose, consensus, real_value, survivors, tokens
 
 DAY = date(2024, 1, 1)
@@ -180,3 +182,26 @@ def test_long_values_are_aligned_whole():
     b[4800] = "z"
     assert choose(["".join(x) for x in (["y"] + a[1:], [*b])], [1, 1]) in (0, 1)
     assert consensus([a, b, a], [1, 1, 1]) == a
+
+
+def test_precedence_has_no_idle_vote(spark, tmp_path):
+    # p5_found is one aggregate: no row goes through an alignment or a window that can't change the outcome
+    rng = random.Random(12)
+    code = lambda k: rng.choice([f"{k:09d}", f"{k:09d}.SH", f" {k:09d}", f"{k}", f"{k:09d}.ib"])
+    # a hot bond of a thousand rows, nearly all different, many small ones, and some of no group
+    codes = [code(7) for _ in range(1000)] + [code(rng.randrange(20, 400)) for _ in range(600)] + [code(1000 + i) for i in range(50)] + [None] * 20
+    rng.shuffle(codes)
+    day = lambda: rng.choice([None, *[DAY + timedelta(k) for k in range(4)]])
+    rows = [(i, c, day(), rng.choice(["text", "ocr", "ocr", None]), rng.choice([None, "—", "", f"甲 {rng.randrange(10**6)}号"]), rng.choice([None, rng.randrange(500) / 100, float("nan")]), float(i), rng.choice([None, "n/a", f"2024-01-{rng.randrange(10, 29)}"]), None) for i, c in enumerate(codes)]
+    df = spark.createDataFrame(rows, "result_id long, bond_code string, pub_date date, extraction_method string, bond_short_name string, coupon_rate_pct double, total_amount_yi double, value_date string, payment_freq string")
+    df.repartition(4).write.parquet(f"{tmp_path}/state_results.parquet")
+    found = QUERIES["p5_found"](spark, str(tmp_path))
+    got = sorted(tuple(r) for r in found.collect())
+    db = duckdb.connect()
+    db.execute(f"create view state_results as select * from read_parquet('{tmp_path}/state_results.parquet/*.parquet')")
+    assert got == sorted(db.execute(ORACLES["p5_found"]).fetchall()) and len(got) > 400
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("MapInPandas", "Window", "Join", "collect_list"))
+    # the vote stays where it has something to decide
+    voted = {(r.group_id, r.field): r.result_id for r in QUERIES["p5_consensus"](spark, str(tmp_path)).collect()}
+    assert voted.keys() == {r[:2] for r in got} and any(voted[r[:2]] != r[2] for r in got)
